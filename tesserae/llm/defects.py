@@ -17,14 +17,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, narrow, once
+from .common import narrow, once
 from .proportions import category
-from .truncation import NUMBERS, STAND_INS, truncated
+from .truncation import BLANKS, NUMBERS, STAND_INS, truncated
 
 #: Phrases that decline to answer.
 REFUSALS = (
     r"(?:我|本助手|本模型|系统|暂时|目前|这个问题我?)(?:暂时|目前|还|也)?(?:无法|不能|没法|没办法|不便|无权)(?:为您|为你|给您|替您|帮您)?(?:回答|解答|作答|查看|处理|分析|判断|识别|提供|给出|访问|协助|看到)",
-    r"^(?:抱歉|对不起|不好意思|很遗憾|非常抱歉|很抱歉|作为语言模型|作为(?:一个)?(?:AI|人工智能))[，,、]?.{0,40}(?:无法|不能|没法|没办法|不便|无权|没有权限|没有收到|超出|不在.{0,6}范围|恕不|拒绝)",
+    r"^(?:抱歉|对不起|不好意思|很遗憾|非常抱歉|很抱歉|作为语言模型|作为(?:一个)?(?:ai|人工智能))[，,、]?.{0,40}(?:无法|不能|没法|没办法|不便|无权|没有权限|没有收到|超出|不在.{0,6}范围|恕不|拒绝)",
     r"^不便对.{0,12}(?:作出|做出|给出|进行)(?:判断|评价|回答|分析)",
     r"恕不(?:作答|回答|奉告|能回答)|不在(?:支持|服务|允许)的?范围|超出了?我的?(?:能力|知识|服务|权限)|没有权限(?:分析|查看|访问|处理)|没有收到(?:可用的?|任何|有效的?)?(?:图像|图片|影像|照片)|拒绝(?:回答|作答)|无可奉告",
     r"^(?:无法|不能)(?:根据图像|从图像|从图中|根据图片)?(?:确认|回答|作答|判断|确定)[。.!！]?$|^暂时不能给出答案|^这个问题我没法回答|^无法回答",
@@ -44,7 +44,9 @@ STOPWORDS = {
     "de": "der|die|das|ist|sind|und|ein|eine|einen|nicht|im|in|ja|nein|auf|mit|von|zu|am|den|dem|es|gibt",
     "it": "il|lo|la|gli|le|un|una|si|sì|no|non|è|sono|nel|nella|di|del|della|con|e|che|c'è|per",
 }
-FOREIGN = r"[\p{IsHiragana}\p{IsKatakana}\p{IsHangul}\p{IsCyrillic}\p{IsArabic}\p{IsThai}\p{IsGreek}\p{IsHebrew}\p{IsDevanagari}]"
+#: Code ranges: Han; kana, Hangul, Cyrillic, Greek, Hebrew, Arabic, Devanagari and Thai.
+HAN = r"[\x{3400}-\x{9FFF}]"
+FOREIGN = r"[\x{3041}-\x{30FF}\x{AC00}-\x{D7AF}\x{0370}-\x{06FF}\x{0900}-\x{097F}\x{0E00}-\x{0E7F}]"
 LEAST_ZH, LEAST_LATIN = 3, 6
 
 
@@ -117,32 +119,51 @@ def _votes(c: Column) -> Column:
     return F.greatest(*rest) > mine
 
 
+#: Every refusal holds one of these; a text without them is not matched against the phrases.
+STEMS = ("无法", "不能", "没法", "没办法", "不便", "无权", "没有权限", "没有收到", "恕不", "拒绝", "范围", "超出", "无可奉告", "can't", "cannot", "can not", "couldn't", "could not", "won't", "will not", "unable", "able to", "afraid", "sorry", "decline", "language model", "ai model", "an ai", "beyond", "outside", "receive", "permi", "allowed", "no image", "no picture", "no usable", "have access", "not supported", "not possible", "the right")
+
+
+def _body(c: Column) -> Column:
+    marked = F.contains(c, F.lit("<")) | F.contains(c, F.lit("**"))
+    return F.btrim(F.when(marked, F.regexp_replace(c, r"</?[A-Za-z]{1,20}>|\*\*[^*\n]{1,12}\*\*", " ")).otherwise(c), F.lit(BLANKS))
+
+
 def judged(pairs: DataFrame) -> DataFrame:
-    """pairs with `defect` (empty, refusal, other_language or null) and the folded texts `_q` and `_a` of possible copies."""
-    body = F.regexp_replace(F.col("answer"), r"</?[A-Za-z]{1,20}>|\*\*[^*\n]{1,12}\*\*", " ")
-    d = once(pairs, _body=F.regexp_replace(narrow(body), f"^[{SPACE}]+|[{SPACE}]+$", ""))
-    b, q = F.col("_body"), F.col("question")
-    blank = F.col("answer").isNull() | ~b.rlike(r"[\p{L}\p{N}]") | b.rlike(f"(?i)^[({{\\[<「【\"']*(?:{STAND_INS})[)}}\\]>」】\"'.。]*$")
+    """pairs with `defect` (empty, refusal, other_language or null)."""
+    d = once(pairs, _body=_body(F.col("answer")))
+    d = once(d, _low=F.lower("_body"))
+    b, low, q = F.col("_body"), F.col("_low"), F.col("question")
+    stand_in = (F.length(b) <= 24) & narrow(low).rlike(f"^[({{\\[<「【\"']*(?:{STAND_INS})[)}}\\]>」】\"'.。]*$")
+    blank = F.col("answer").isNull() | ~b.rlike(r"[\p{L}\p{N}]") | stand_in
     answerable = ~F.coalesce(category(F.col("question_type")), F.lit("")).isin("unanswerable", "ambiguous")
-    refusal = answerable & b.rlike("(?is)" + "|".join(REFUSALS))
+    stem = F.contains(low, F.lit(STEMS[0]))
+    for x in STEMS[1:]:
+        stem = stem | F.contains(low, F.lit(x))
+    refusal = stem & low.rlike("(?s)" + "|".join(REFUSALS)) & answerable
     words = F.regexp_count(F.regexp_replace(b, r"(?<![\p{L}])[A-Z0-9][A-Z0-9+\-_.]*(?![\p{L}])|https?://\S+", " "), F.lit(r"[A-Za-z\x{C0}-\x{24F}]+(?:['’][A-Za-z]+)?"))
-    han = F.regexp_count(b, F.lit(r"\p{IsHan}"))
-    han_words = F.regexp_count(b, F.lit(rf"(?![{NUMBERS}])\p{{IsHan}}"))
+    han = F.regexp_count(b, F.lit(HAN))
+    han_words = F.regexp_count(b, F.lit(rf"(?![{NUMBERS}]){HAN}"))
     foreign = F.regexp_count(b, F.lit(FOREIGN))
-    zh_asked = q.rlike(r"\p{IsHan}")
     other_zh = b.rlike(rf"[A-Za-z\x{{C0}}-\x{{24F}}]{{2}}|{FOREIGN}") & ((foreign * 5 > han + foreign) | (words * 3 > han * 2))
-    other_en = b.rlike(rf"\p{{IsHan}}|{FOREIGN}") & ((foreign > words) | (han_words > words * 2)) | (words >= 3) & _votes(F.lower(b))
-    other = F.when(zh_asked, other_zh).when(q.rlike("[A-Za-z]"), other_en).otherwise(False)
-    d = once(d, defect=F.when(blank, "empty").when(refusal, "refusal").when(other, "other_language"))
-    fold = lambda c: F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", "")
-    return once(d, _q=fold(narrow(q)), _a=fold(b))
-
-
-def copies(rows: DataFrame) -> DataFrame:
-    """(record_set, row_id) of responses that give the prompt back and add no answer; input from judged()."""
+    other_en = b.rlike(rf"{HAN}|{FOREIGN}") & ((foreign > words) | (han_words > words * 2)) | (words >= 3) & _votes(low)
+    other = F.when(q.rlike(HAN), other_zh).when(q.rlike("[A-Za-z]"), other_en).otherwise(False)
+    return once(d, defect=F.when(blank, "empty").when(refusal, "refusal").when(other, "other_language"))
+
+
+def copies(pairs: DataFrame) -> DataFrame:
+    """(record_set, row_id) of responses that give the prompt back and add no answer."""
+    # necessary for a copy of half the prompt or more: one of five places of the prompt stands in the response, which is about as long
+    q, a, n = F.col("_ql"), F.col("_al"), F.length("_ql")
+    long = (F.length("answer") >= F.length("question") * 0.45) & (F.length("answer") <= F.length("question") + 200)
+    may = once(pairs.where(long & (F.length("question") >= 4)), _ql=F.lower("question"), _al=F.lower("answer"))
+    probe = F.lit(False)
+    for i in range(5):
+        probe = probe | F.contains(a, F.substring(q, F.greatest(F.lit(1), F.floor(n * (2 * i + 1) / 10).cast("int") - 1), F.lit(4)))
+    fold = lambda c: F.regexp_replace(F.lower(narrow(c)), r"[^\p{L}\p{N}]+", "")
+    rows = once(judged(may.where(probe).drop("_ql", "_al")), _q=fold(F.col("question")), _a=fold(F.col("_body")))
     n, m = F.length("_a"), F.length("_q")
-    # necessary for a copy: its last letters stand in the prompt, and it is about as long as the prompt
-    may = rows.where(F.col("defect").isNull() & (m >= 4) & (n * 2 >= m) & (n <= m + 24) & F.col("_q").contains(F.substring("_a", -3, 3)))
+    # and its last letters stand in the prompt
+    may = rows.where(F.col("defect").isNull() & (m >= 4) & (n * 2 >= m) & (n <= m + 24) & F.contains("_q", F.substring("_a", -3, 3)))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import re
@@ -166,6 +187,6 @@ def found(pairs: DataFrame, texts: DataFrame, corpus: DataFrame) -> DataFrame:
     rows = judged(pairs)
     plain = rows.where("defect is not null").select("record_set", "row_id", "defect")
     return (
-        plain.unionByName(copies(rows).withColumn("defect", F.lit("copied_question")))
+        plain.unionByName(copies(pairs).withColumn("defect", F.lit("copied_question")))
         .unionByName(truncated(texts, corpus).withColumn("defect", F.lit("truncated")))
     )

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, narrow, once
+from .common import SPACE, cut, once
 
 #: What ends a sentence, what only ends a clause, and the marks that may follow an end.
 STOPS, COMMAS, CLOSERS = "。．.!！?？…", ",，、;；:：", "\"'”’」』)）】》〉~"
@@ -37,39 +37,42 @@ def texts_of(sft: DataFrame, val_pred: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def _plain(c: Column) -> Column:
-    """Text with marks levelled: width, tags and headings to line ends, numbers to '#'."""
-    t = F.lower(F.translate(c, "　 ", "  "))
-    t = F.regexp_replace(t, r"</?[a-z]{1,20}>|<[/a-z]{0,20}$|\*\*|(?:^|(?<=\n|\s))[0-9]{1,3}[.)、](?=\s)", "\n")
-    return F.regexp_replace(t, f"[{NUMBERS}]+", "#")
+#: One mark for each kind of break, so that sentences and clauses are split without regular expressions that look around.
+STOP, COMMA = "\x01", "\x02"
+_STOPS, _COMMAS, _DIGITS = STOPS + "\n\r", ",，、;；:：", "0123456789０１２３４５６７８９一二三四五六七八九十百千万两〇零"
+TRIM = " \t　 ​\"'“”‘’「」『』()（）《》【】[]*-—·~"
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0            ​    ⁠　﻿"
 
 
-def tokens(c: Column) -> Column:
-    """Tokens with the mark that follows them, in order."""
-    return F.split(_plain(c), rf"(?<=[{COMMAS}{STOPS}\n])(?![{COMMAS}{STOPS}\n{CLOSERS}])")
-
-
-MARKS = rf"[{COMMAS}{STOPS}{SPACE}{CLOSERS}\"“‘「『（(《*\-]+"
+def _marked(c: Column) -> Column:
+    """Text in lower case with tags as sentence ends, one mark per kind of break, and '#' for every numeral."""
+    tagged = F.when(F.contains(c, F.lit("<")), F.regexp_replace(c, r"</?[A-Za-z]{1,20}>|<[/A-Za-z]{0,20}$", "\n")).otherwise(c)
+    return F.translate(F.lower(tagged), _STOPS + _COMMAS + _DIGITS, STOP * len(_STOPS) + COMMA * len(_COMMAS) + "#" * len(_DIGITS))
 
 
 def _bare(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{MARKS}|{MARKS}$", "")
+    """A token without outer blanks and marks, runs of numerals as one '#'."""
+    t = F.btrim(c, F.lit(TRIM))
+    return F.when(F.contains(t, F.lit("##")), F.regexp_replace(t, "##+", "#")).otherwise(t)
 
 
 def vocabulary(corpus: DataFrame) -> DataFrame:
     """(place, token, ends, goes_on): how often a token ends a sentence or is followed by a comma, over all texts.
 
     corpus: column `text`. place is 'f' for tokens that begin a sentence and 'm' for later ones, since a word that is a
-    whole answer may as well begin a longer sentence. Tokens are counted with map-side combine.
+    whole answer may as well begin a longer sentence. Sentences, then tokens, are counted with map-side combine. The
+    unfinished end of a text counts as nothing.
     """
-    parts = once(corpus.where("text is not null").select("text"), _a=tokens(F.col("text")))
-    before = F.when(F.col("_i") == 0, F.lit("\n")).otherwise(F.get(F.col("_a"), F.col("_i") - 1))
-    t = parts.select("_a", F.posexplode("_a").alias("_i", "_t"))
-    t = once(t, token=_bare(F.col("_t")), _open=before.rlike(rf"[{COMMAS}][{CLOSERS}{SPACE}]*$"), _stop=F.col("_t").rlike(rf"[{STOPS}][{CLOSERS}{SPACE}]*$|\n$"), _on=F.col("_t").rlike(rf"[{COMMAS}][{CLOSERS}{SPACE}]*$"))
-    t = t.where("token <> '' and (_stop or _on)")
+    marked = _marked(F.col("text"))
+    done = F.substring_index(marked, STOP, -1)  # what follows the last stop is no sentence
+    s = corpus.where("text is not null").select(F.explode(F.split(F.substring(marked, F.lit(1), F.length(marked) - F.length(done)), STOP)).alias("s"))
+    s = s.where("s <> ''").groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    t = s.select("n", F.posexplode(F.split(F.rtrim("s", F.lit(COMMA + " ")), COMMA)).alias("_i", "_t"), F.size(F.split(F.rtrim("s", F.lit(COMMA + " ")), COMMA)).alias("_k"))
+    t = once(t, token=_bare(F.col("_t"))).where("token <> ''")
+    last = F.col("_i") + 1 == F.col("_k")
     return (
-        t.groupBy(F.when(F.col("_open"), "m").otherwise("f").alias("place"), "token")
-        .agg(F.count_if("_stop").alias("ends"), F.count_if(~F.col("_stop")).alias("goes_on"))
+        t.groupBy(F.when(F.col("_i") == 0, "f").otherwise("m").alias("place"), "token")
+        .agg(F.sum(F.when(last, F.col("n")).otherwise(0)).alias("ends"), F.sum(F.when(last, 0).otherwise(F.col("n"))).alias("goes_on"))
     )
 
 
@@ -93,50 +96,44 @@ def ending(c: Column) -> Column:
 
 
 def candidates(texts: DataFrame) -> DataFrame:
-    """Texts without final punctuation: their final token, its place, and the mark before the end, if any."""
+    """Texts without final punctuation: their final token, its place, and whether the end alone tells that they were cut."""
     t = texts.where("text is not null")
-    t = once(t, text_r=F.regexp_replace("text", f"[{SPACE}]+$", ""))
-    t = once(
-        t,
-        _end=F.regexp_replace(F.substring("text_r", -40, 40), f"(?:</?[A-Za-z]{{1,20}}>|<[/A-Za-z]{{0,20}}|[{SPACE}*；;])+$", ""),
-        _closed=F.col("text_r").rlike(r"</[A-Za-z]{1,20}>$"),
-        _item=F.col("text_r").rlike(r"\n[0-9]{1,3}[.、]$"),
-    )
-    t = t.where((F.col("_end") != "") & ~F.col("_closed") & (F.col("_item") | ~F.col("_end").rlike(rf"[{STOPS}][{CLOSERS}]*$|[)）】]$")))
-    t = once(t, _a=tokens(F.regexp_replace("text_r", "[；;]+$", "")), _body=F.regexp_replace("text_r", rf"(?s)^(?:.*<answer>|[{SPACE}*]*(?:回答|答案|answer)\*+)", ""))
-    n = F.size("_a")
-    t = once(t, _last=F.get("_a", n - 1), _prev=F.when(n > 1, F.get("_a", n - 2)).otherwise(F.lit("\n")))
-    t = once(
-        t,
-        token=_bare(F.col("_last")),
-        place=F.when(F.col("_prev").rlike(rf"[{COMMAS}][{CLOSERS}{SPACE}]*$"), "m").otherwise("f"),
-        whole=_bare(_plain(F.col("_body"))),
-        asked=F.col("_prev").rlike(rf"[?？][{CLOSERS}{SPACE}]*$"),
-        sure=F.col("_item") | F.col("text_r").rlike(rf"[{COMMAS}\x{{FFFD}}]$") & ~F.col("text_r").rlike("[；;]$"),
-        n_chars=F.length("text"),
-    ).where(~F.col("whole").rlike(f"^(?:{STAND_INS})?$") | F.col("sure"))
-    return once(t, alone=F.col("asked") | (F.col("whole") == F.col("token"))).drop("_a", "_last", "_prev", "_end", "_closed", "_body", "_item", "whole", "asked", "text", "text_r")
-
-
-def limits(texts: DataFrame) -> DataFrame:
-    """(source, n_chars): lengths at which unfinished texts of a source pile up, against lengths up to 8 away."""
-    n = candidates(texts).where("n_chars >= 24").groupBy("record_set", "source", "n_chars").agg(F.count(F.lit(1)).alias("_n"))
-    near = n.select("record_set", "source", F.explode(F.sequence(F.col("n_chars") - 8, F.col("n_chars") + 8)).alias("n_chars"), F.col("_n").alias("_m"))
-    around = near.groupBy("record_set", "source", "n_chars").agg(F.sum("_m").alias("_m"))
-    same = (n["record_set"] == around["record_set"]) & n["source"].eqNullSafe(around["source"]) & (n["n_chars"] == around["n_chars"])
-    return n.join(around.select(F.col("record_set").alias("_rs"), F.col("source").alias("_s"), F.col("n_chars").alias("_c"), "_m"),
-                  (n["record_set"] == F.col("_rs")) & n["source"].eqNullSafe(F.col("_s")) & (n["n_chars"] == F.col("_c"))
-                  ).where((F.col("_n") >= PILE_ROWS) & (F.col("_n") > PILE * F.greatest((F.col("_m") - F.col("_n")) / 16.0, F.lit(0.5)))).select("record_set", "source", "n_chars")
+    t = once(t, _r=F.rtrim("text", F.lit(BLANKS + "*；;")), _n=F.length("text"))
+    t = once(t, _z=F.substring("_r", -1, 1))
+    item = F.col("_r").rlike(r"\n[0-9]{1,3}[.、]$")
+    ended = F.when(F.col("_z").isin(*[*CLOSERS]), F.col("_r").rlike(rf"[{STOPS}][{CLOSERS}]*$|[)）】]$|</[A-Za-z]{{1,20}}>$")).otherwise(F.col("_z").isin(*[*STOPS]) & ~((F.col("_z") == ".") & item))
+    t = t.where((F.col("_z") != "") & ~ended)
+    # from here on only unfinished texts
+    t = once(t, _m=_marked(F.rtrim(F.regexp_replace("_r", r"<[/A-Za-z]{0,20}$", ""), F.lit(BLANKS + "；;"))))
+    body = F.regexp_replace("_r", rf"(?s)^(?:.*<answer>|[{SPACE}*]*(?:回答|答案|answer|Answer)\*+)", "")
+    t = once(t, _last=F.substring_index("_m", STOP, -1), _whole=F.btrim(_marked(body), F.lit(TRIM + STOP)))
+    t = once(t, _clause=F.substring_index("_last", COMMA, -1), _q=F.col("_r").rlike(rf"[?？][{SPACE}\"'”’]*[^?？{STOPS}\n]*$"))
+    return once(
+        t.where(~F.col("_whole").rlike(f"^(?:{STAND_INS})?$") | F.col("_r").endswith("�")),
+        token=_bare(F.col("_clause")),
+        place=F.when(F.contains("_last", F.lit(COMMA)), "m").otherwise("f"),
+        sure=F.col("_z").isin(*[*",，、:：", "�", "."]),
+        alone=~F.contains("_last", F.lit(COMMA)) & (F.col("_q") | (_bare(F.col("_whole")) == _bare(F.col("_clause")))),
+        n_chars=F.col("_n"),
+    ).drop("_r", "_n", "_z", "_m", "_last", "_whole", "_clause", "_q", "text")
+
+
+def limits(unfinished: DataFrame) -> DataFrame:
+    """(record_set, source, n_chars): lengths at which a source's unfinished texts pile up, against lengths up to 8 away."""
+    n = unfinished.where("n_chars >= 24").groupBy("record_set", "source", "n_chars").agg(F.count(F.lit(1)).alias("_n"))
+    near = n.select("record_set", "source", F.explode(F.sequence(F.col("n_chars") - 8, F.col("n_chars") + 8)).alias("n_chars"), F.col("_n").alias("_m"), F.lit(0).alias("_n"))
+    both = near.unionByName(n.withColumn("_m", F.lit(0))).groupBy("record_set", "source", "n_chars").agg(F.sum("_m").alias("_m"), F.sum("_n").alias("_n"))
+    return both.where((F.col("_n") >= PILE_ROWS) & (F.col("_n") > PILE * F.greatest((F.col("_m") - F.col("_n")) / 16.0, F.lit(0.5)))).select("record_set", "source", "n_chars")
 
 
 def judged(texts: DataFrame, corpus: DataFrame) -> DataFrame:
     """Candidates with `cut`: whether each ends within a word, clause or sentence."""
-    c = candidates(texts)
-    vocab = vocabulary(corpus)
+    c = cut(candidates(texts))
+    vocab = cut(vocabulary(corpus))
     keys = once(c, _node=F.when(F.length("token") <= DEPTH, F.col("token")), _tail=ending(F.col("token")))
     nodes = trie(vocab).select(F.col("place").alias("_pl"), F.col("node").alias("_nd"), "ends", "goes_on", "below")
     tails = once(vocab.where("ends > 0"), _te=ending(F.col("token"))).groupBy("_te").agg(F.sum("ends").alias("tail_ends"))
-    pile = limits(texts).select(F.col("record_set").alias("_rs"), F.col("source").alias("_s"), F.col("n_chars").alias("_c"), F.lit(True).alias("at_limit"))
+    pile = limits(c).select(F.col("record_set").alias("_rs"), F.col("source").alias("_s"), F.col("n_chars").alias("_c"), F.lit(True).alias("at_limit"))
     j = keys.join(nodes, (F.col("place") == F.col("_pl")) & (F.col("_node") == F.col("_nd")), "left")
     j = j.join(tails, F.col("_tail") == F.col("_te"), "left")
     j = j.join(pile, (F.col("record_set") == F.col("_rs")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("n_chars") == F.col("_c")), "left")
