@@ -23,7 +23,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ITEMS_AT_ONCE, WINDOW, OWN, SHARE, SLOTS = 20_000, 6, 6, 0.5, 0.5
+ITEMS_AT_ONCE, WINDOW, OWN, SHARE = 20_000, 6, 6, 0.5
+#: Share of an item's slots that must agree: in Han script six letters are a phrase, in Latin script hardly a word.
+SLOTS_HAN, SLOTS_LATIN = 0.3, 0.5
 #: Units after numbers.
 UNITS = r"(?:米|公里|千米|天|日|年|月|级|张|幅|座|块|处|组|成|次|个|像元|号|批|%|％|meters?|kilometers?|km|days?|years?|months?|levels?|pixels?|times?|tenths?|frames?|stacks?|pieces?)"
 NUM, NAME, UNIT = "", "", ""
@@ -103,6 +105,7 @@ class Items:
         hashes, owner, self.need = [], [], []
         self.slots: list[list[tuple[int, int, str]]] = []
         self.own = [windows(r, OWN) for r in self.runs]
+        self.latin = [2 * sum(c.isascii() for c in r) > len(r) for r in self.runs]
         for i, r in enumerate(self.runs):
             t, _ = template(r, self.names)
             h = np.unique(windows(t, WINDOW))
@@ -153,7 +156,7 @@ class Items:
             return True
         # a slot is the same if it and the letters beside it are covered: its number or name stands in its own template place
         same = [bool(covered[max(0, a - 1) : b + 1].all()) for a, b, _ in slots]
-        return sum(same) >= SLOTS * len(same)
+        return sum(same) >= (SLOTS_LATIN if self.latin[i] else SLOTS_HAN) * len(same)
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", passage_col: str = "passage") -> DataFrame:

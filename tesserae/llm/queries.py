@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import defects, overlap, proportions, repetition, truncation
+from . import defects, leakage, overlap, packing, proportions, repetition, spam, splits, truncation
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,14 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return defects.found(defects.pairs_of(sft, pred), truncation.texts_of(sft, pred), truncation.corpus_of(sft, pred))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return splits.related_pairs(table(spark, d, "sft"), table(spark, d, "val"), table(spark, d, "manifest"))
+
+
+def p3_split(spark: SparkSession, d: str) -> DataFrame:
+    return splits.assign(table(spark, d, "sft"), table(spark, d, "val"), table(spark, d, "manifest"), table(spark, d, "split_targets"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     sft, pred = table(spark, d, "sft"), table(spark, d, "val_pred")
     return truncation.truncated(truncation.texts_of(sft, pred), truncation.corpus_of(sft, pred))
@@ -55,7 +63,30 @@ def p6_share(spark: SparkSession, d: str) -> DataFrame:
     return repetition.measure(table(spark, d, "sft"), "sft_id", "answer")
 
 
+def p7_pack(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill(table(spark, d, "documents"), table(spark, d, "pack_limits"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.report(p8_found(spark, d))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return spam.found(table(spark, d, "documents"))
+
+
+def p9_hosts(spark: SparkSession, d: str) -> DataFrame:
+    return spam.by_host(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (p1_found, p1_quotas, p1_sample, p2_found, p4_found, p4_rates, p5_found, p5_report, p6_found, p6_share)
+    for f in (
+        p1_found, p1_quotas, p1_sample, p2_found, p3_found, p3_split, p4_found, p4_rates, p5_found, p5_report, p6_found, p6_share,
+        p7_pack, p8_found, p8_report, p9_found, p9_hosts,
+    )
 }
