@@ -12,6 +12,7 @@ from collections.abc import Mapping
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: White space of the Unicode standard as Python sees it, for Java and RE2 alike.
 WS = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -125,7 +126,7 @@ def lookup(c: Column, table: Mapping[str, str]) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), c), c)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def flatten_content(c: pd.Series) -> pd.Series:
     """Text of dynamic message content given as JSON: null gives '', a string is stripped, a list joins the text (or else the
     content) of its blocks by line ends, nested lists likewise; anything else stays as written. Recursive, hence Python."""
