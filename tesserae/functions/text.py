@@ -142,7 +142,7 @@ def flatten_content(c: pd.Series) -> pd.Series:
         return "\n".join(t for t in map(block, xs) if t).strip()
 
     def one(s) -> str:
-        if s is None:
+        if not isinstance(s, str):
             return ""
         try:
             x = json.loads(s)
@@ -152,4 +152,4 @@ def flatten_content(c: pd.Series) -> pd.Series:
             return ""
         return joined(x) if isinstance(x, list) else x.strip() if isinstance(x, str) else s.strip()
 
-    return c.map(one, na_action=None)
+    return pd.Series([one(s) for s in c], dtype=object)
