@@ -34,14 +34,24 @@ WORDINGS = (
     ("大致处于|大概处于|大致位于", "大致处于"),
     ("哪一侧|哪侧|哪一边|哪边", "哪侧"),
 )
-WORDINGS_EN = (
-    ("picture|photo|photograph|image", "image"),
-    ("spotted|seen|observed|found", "seen"),
-    ("contain|show|include|have", "contain"),
-    ("situated|placed|located|positioned", "located"),
-    ("color|colour", "color"),
-    ("which|what", "what"),
-)
+WORDINGS_EN = {
+    "image": "picture|photo|photograph|image",
+    "seen": "spotted|seen|observed|found",
+    "contain": "contain|show|include|have",
+    "located": "situated|placed|located|positioned",
+    "color": "color|colour",
+    "what": "which|what",
+    "is": "is|lies|has",
+    "can": "can|could",
+}
+
+
+def letters_of(word: str) -> str:
+    """A word by its different letters in order: swapped and doubled letters make no difference."""
+    return "".join(sorted(set(word)))
+
+
+SAME_EN = {letters_of(w): letters_of(k) for k, ws in WORDINGS_EN.items() for w in ws.split("|") if letters_of(w) != letters_of(k)}
 #: The four ways to name the grid cell that a question is about.
 CELL = r"标号 ?(\d+) ?的?网格中|网格 ?(\d+)|第 ?(\d+) ?号网格内?|在?编号 ?(\d+) ?的?格子里"
 
@@ -60,9 +70,9 @@ def with_question(df: DataFrame, source: str, name: str) -> DataFrame:
     e = F.trim(F.regexp_replace("_c", r"[^\p{L}\p{N}]+", " "))
     e = F.regexp_replace(e, f"^(?:(?:{OPENINGS_EN})(?: |$))+", "")
     e = F.regexp_replace(e, f"(?:(?:^| )(?:{CLOSINGS_EN}))+$", "")
-    for old, new in WORDINGS_EN:
-        e = F.regexp_replace(e, rf"\b(?:{old})\b", new)
-    e = F.array_join(F.transform(F.split(e, " "), lambda w: F.when(w.rlike(r"\p{N}"), w).otherwise(F.array_join(F.array_sort(F.array_distinct(F.split(w, ""))), ""))), " ")
+    same = F.create_map(*[F.lit(x) for kv in SAME_EN.items() for x in kv])
+    letters = F.transform(F.split(e, " "), lambda w: F.when(w.rlike(r"\p{N}"), w).otherwise(F.array_join(F.array_sort(F.array_distinct(F.split(w, ""))), "")))
+    e = F.array_join(F.transform(letters, lambda w: F.coalesce(F.try_element_at(same, w), w)), " ")
     return once(df, **{name: F.nullif(F.when(F.col("_c").rlike(r"\p{IsHan}"), z).otherwise(e), F.lit(""))}).drop("_c")
 
 
