@@ -12,6 +12,7 @@ only one class, falls back to the weak signs alone.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-TRAIN_ROWS, TREES, DEPTH, LEAF, SALTS, SMOOTH, PRIOR, THRESHOLD, SEED = 8000, 15, 4, 5, 16, 0.1, 20.0, 0.5, 3407
+TRAIN_ROWS, TREES, DEPTH, LEAF, SALTS, SMOOTH, PRIOR, THRESHOLD, SEED = 8000, 21, 5, 5, 16, 0.1, 20.0, 0.5, 3407
 FEATURES = ("list_share", "link_share", "link_rate", "tag_share", "stop_rate", "function_rate", "repeat_share", "top_share", "offer_rate", "piece_length", "digit_share", "key_share", "n_units")
 #: Frequent function words, which sentences cannot do without.
 FUNCTION_ZH = frozenset("的是在了与和有以为从不把被后应而就将其由到可也或及于则各让使若如再先后只这那该并并未均曾现需处会")
@@ -33,64 +34,64 @@ _PIECE = re.compile(r"[^。！？!?\n.]*(?:[。！？!?]+|\.(?=\s|$|[一-鿿])|\
 _SPLIT = re.compile(r"[\s,，、;；|｜/·#>»•\-–—:：()\[\]（）【】]+")
 _WORD = re.compile(r"[A-Za-z]+|[一-鿿]")
 _STOP = re.compile(r"[。！？!?]|\.(?=\s|$)")
-_LETTER = re.compile(r"\w")
+_DIGIT = re.compile(r"\d")
+FUNCTION = FUNCTION_ZH | FUNCTION_EN
+#: Usual shares of function words among Han characters and among Latin words of written text.
+USUAL_HAN, USUAL_LATIN = 0.15, 0.32
 
 
 def features(text: str) -> list[float]:
     """The features of one page, in the order of FEATURES."""
     n = len(text)
-    links = sum(len(m) for m in _LINK.findall(text)) if ("http" in text or "](" in text or "www." in text) else 0
-    n_links = len(_LINK.findall(text)) if links else 0
-    bare = _LINK.sub(" \n" if links else "", text) if links else text
-    tags = sum(len(m) for m in _TAG.findall(bare)) if ("#" in bare or "<" in bare) else 0
-    words = _WORD.findall(bare.lower())
-    functional = sum(w in FUNCTION_ZH or w in FUNCTION_EN for w in words)
-    in_lists, letters, pieces = 0, 0, 0
+    links = _LINK.findall(text) if ("http" in text or "](" in text or "www." in text) else []
+    linked = sum(map(len, links))
+    bare = (_LINK.sub(" \n", text) if links else text).lower()
+    tags = sum(map(len, _TAG.findall(bare))) if ("#" in bare or "<" in bare) else 0
+    words: list[str] = []
+    functional, in_lists, letters, pieces = 0, 0, 0, 0
     for piece in _PIECE.findall(bare):
-        size = len(_LETTER.findall(piece))
-        if not size:
+        ws = _WORD.findall(piece)
+        if not ws:
             continue
+        size, f = sum(map(len, ws)), sum(map(FUNCTION.__contains__, ws))
         pieces += 1
         letters += size
-        ws = _WORD.findall(piece.lower())
-        f = sum(w in FUNCTION_ZH or w in FUNCTION_EN for w in ws)
-        if f < max(1, 0.035 * len(ws)) or "#" in piece and piece.count("#") * 12 > size:
+        functional += f
+        words += ws
+        if f < max(1, 0.035 * len(ws)) or piece.count("#") * 12 > size:
             in_lists += size
-    tokens = [t for t in _SPLIT.split(bare.lower()) if t]
-    counts: dict[str, int] = {}
-    for t in tokens:
-        counts[t] = counts.get(t, 0) + 1
-    top = sum(sorted(counts.values(), reverse=True)[:5])
-    k = max(1, len(tokens))
+    tokens = Counter(t for t in _SPLIT.split(bare) if t)
+    k = max(1, tokens.total())
+    latin = sum(map(str.isascii, words))
+    usual = USUAL_LATIN * latin + USUAL_HAN * (len(words) - latin)
     return [
-        (in_lists + links) / max(1, letters + links),
-        links / max(1, n),
-        100.0 * n_links / max(1, n),
+        (in_lists + linked) / max(1, letters + linked),
+        linked / max(1, n),
+        100.0 * len(links) / max(1, n),
         tags / max(1, n),
         100.0 * len(_STOP.findall(bare)) / max(1, len(bare)),
-        functional / max(1, len(words)),
-        1.0 - len(counts) / k,
-        top / k,
+        functional / max(1.0, usual),
+        1.0 - len(tokens) / k,
+        sum(c for _, c in tokens.most_common(5)) / k,
         100.0 * len(_OFFER.findall(text)) / max(1, n),
         letters / max(1, pieces),
-        sum(c.isdigit() for c in text) / max(1, n),
-        keywords(words),
-        float(len(words) + 10 * n_links),
+        len(_DIGIT.findall(text)) / max(1, n),
+        keywords(words, latin),
+        float(len(words) + 10 * len(links)),
     ]
 
 
-def keywords(words: list[str]) -> float:
+def keywords(words: list[str], n_latin: int) -> float:
     """Share of a page that its three most frequent phrases make up: four Han characters, or one content word, seen thrice."""
-    latin = [w for w in words if w.isascii() and len(w) > 2 and w not in FUNCTION_EN]
-    han = "".join(w for w in words if not w.isascii())
     out = 0.0
-    for units, size, total in (([han[i : i + 4] for i in range(len(han) - 3)], 4, len(han)), (latin, 1, len(latin))):
-        counts: dict[str, int] = {}
-        for u in units:
-            counts[u] = counts.get(u, 0) + 1
-        top = sorted((c for c in counts.values() if c >= 3), reverse=True)[:3]
-        if total and total * 2 * (1 if size == 4 else 3) >= len(words):
-            out = max(out, min(1.0, size * sum(top) / total))
+    if 2 * (len(words) - n_latin) >= len(words) > 0:
+        han = "".join(words) if not n_latin else "".join([w for w in words if not w.isascii()])
+        top = Counter(map("".join, zip(han, han[1:], han[2:], han[3:]))).most_common(3)
+        out = min(1.0, 4 * sum(c for _, c in top if c >= 3) / max(1, len(han)))
+    if n_latin:
+        latin = [w for w in words if len(w) > 2 and w.isascii() and w not in FUNCTION]
+        if 6 * len(latin) >= len(words):
+            out = max(out, min(1.0, sum(c for _, c in Counter(latin).most_common(3) if c >= 3) / len(latin)))
     return out
 
 
@@ -108,10 +109,12 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
 
 def weak_label() -> Column:
     """1.0 where several signs of piled-up entries agree, 0.0 where the page is clearly sentences, else null."""
-    entries = (F.col("list_share") >= 0.8) & ((F.col("repeat_share") >= 0.4) | (F.col("link_share") >= 0.3) | (F.col("tag_share") >= 0.3) | (F.col("offer_rate") >= 1))
-    stuffed = (F.col("key_share") >= 0.5) & (F.col("function_rate") <= 0.15)
-    piled = (F.col("n_units") >= 25) & (entries | stuffed | (F.col("link_share") >= 0.7))
-    plain = ((F.col("list_share") <= 0.4) & (F.col("function_rate") >= 0.08) & (F.col("key_share") <= 0.3)) | (F.col("n_units") < 15)
+    c = F.col
+    entries = (c("list_share") >= 0.8) & ((c("repeat_share") >= 0.4) | (c("link_share") >= 0.3) | (c("tag_share") >= 0.3) | (c("offer_rate") >= 1))
+    stuffed = (c("key_share") >= 0.4) & (c("function_rate") <= 0.45) | (c("key_share") >= 0.5) & (c("function_rate") <= 0.6)
+    piled = (c("n_units") >= 25) & (entries | stuffed | (c("link_share") >= 0.7))
+    written = (c("function_rate") >= 0.55) | (c("n_units") < 60) & (c("key_share") < 0.2)
+    plain = (c("n_units") < 15) | written & (c("list_share") <= 0.45) & (c("link_share") <= 0.25) & (c("tag_share") <= 0.2) & (c("offer_rate") < 0.5) & ((c("key_share") <= 0.5) | (c("function_rate") >= 0.8))
     return F.when(piled, 1.0).when(plain, 0.0)
 
 
@@ -121,7 +124,7 @@ def grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, depth: int = DE
     if depth == 0 or p in (0.0, 1.0) or len(y) < 2 * LEAF:
         return (p,)
     best = None
-    for j in rng.permutation(x.shape[1])[: max(3, x.shape[1] // 2)]:
+    for j in rng.permutation(x.shape[1])[: (2 * x.shape[1] + 2) // 3]:
         order = np.argsort(x[:, j], kind="stable")
         v, c = x[order, j], np.cumsum(y[order])
         n = np.arange(1, len(y))
@@ -154,14 +157,21 @@ def as_column(tree: tuple) -> Column:
 
 
 def train(pages: DataFrame) -> list[tuple]:
-    """Bagged trees from at most TRAIN_ROWS pages of each weak label, drawn by hash in page order of the hash."""
-    labelled = pages.withColumn("y", weak_label()).where("y is not null")
-    counts = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
-    if len(counts) < 2:
+    """Bagged trees from at most TRAIN_ROWS pages of each stratum, drawn by hash.
+
+    Strata are the piled-up pages, the written pages that hold some lists, links or repeated phrases, and the other
+    written pages; without the second the few pages of sentences with references or class lists would hardly be seen.
+    """
+    hard = (F.col("list_share") > 0.12) | (F.col("key_share") > 0.25) | (F.col("link_share") > 0.03) | (F.col("function_rate") < 0.7) | (F.col("n_units") < 60)
+    labelled = pages.withColumn("y", weak_label()).where("y is not null").withColumn("stratum", F.when(F.col("y") == 1.0, "piled").when(hard, "hard").otherwise("plain"))
+    counts = {r["stratum"]: r["count"] for r in labelled.groupBy("stratum").count().collect()}
+    if "piled" not in counts or len(counts) < 2:
         return []
     u = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "doc_id"), 11) / F.lit(float(1 << 53))
-    share = F.when(F.col("y") == 1.0, min(1.0, 0.9 * TRAIN_ROWS / counts[1.0])).otherwise(min(1.0, 0.9 * TRAIN_ROWS / counts[0.0]))
-    rows = labelled.where(u <= share).select("doc_id", "y", *FEATURES).limit(2 * TRAIN_ROWS).toPandas().sort_values("doc_id")
+    share = F.lit(0.0)
+    for name, n in counts.items():
+        share = F.when(F.col("stratum") == name, min(1.0, 0.9 * TRAIN_ROWS / n)).otherwise(share)
+    rows = labelled.where(u <= share).select("doc_id", "y", *FEATURES).limit(3 * TRAIN_ROWS).toPandas().sort_values("doc_id")
     return bag(rows[list(FEATURES)].to_numpy(), rows["y"].to_numpy())
 
 
