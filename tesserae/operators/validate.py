@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.rows import once
 from .health import HARD_WORDS, NUMERIC_PATTERNS, SOFT_WORDS
 
 #: Wordings of place, and of thinking aloud.
@@ -49,7 +50,7 @@ def validate(df: DataFrame, answer: str, question_type: str, expect_analysis: Co
     """df with is_valid, warnings and label (pass, warning, format_fail)."""
     a = F.coalesce(F.col(answer), F.lit(""))
     d = df.withColumn("_a", a).withColumn("_ea", F.coalesce(expect_analysis, F.lit(True)))
-    d = d.withColumn("_ans", section(F.col("_a"), "answer")).withColumn("_ana", section(F.col("_a"), "analysis"))
+    d = once(d, _ans=section(F.col("_a"), "answer"), _ana=section(F.col("_a"), "analysis"))
     text, ans, ana, ea, qt = F.col("_a"), F.col("_ans"), F.col("_ana"), F.col("_ea"), F.coalesce(F.col(question_type), F.lit(""))
     has = lambda x: F.contains(text, F.lit(x))
     fail = (
@@ -79,10 +80,10 @@ def validate(df: DataFrame, answer: str, question_type: str, expect_analysis: Co
         warnings.append(F.when((qt == t) & ~ans.rlike(TYPE_RULES[t][0]), TYPE_RULES[t][1]))
     warnings.append(F.when(qt.isin("location", "spatial_relation") & ~place, NO_PLACE))
     warnings.append(F.when((qt == "existence") & ~ans.rlike(TYPE_RULES["existence"][0]), TYPE_RULES["existence"][1]))
-    d = d.withColumn("_fail", fail)
-    d = d.withColumn("warnings", F.when(F.col("_fail").isNotNull(), F.array(F.col("_fail"))).otherwise(F.array_compact(F.array(*warnings))))
+    d = once(d, _fail=fail)
+    d = once(d, warnings=F.when(F.col("_fail").isNotNull(), F.array(F.col("_fail"))).otherwise(F.array_compact(F.array(*warnings))))
     blocked = F.exists("warnings", lambda w: w.startswith(HARD) | (w == NUMERIC))
-    d = d.withColumn("is_valid", F.col("_fail").isNull() & ~blocked)
+    d = once(d, is_valid=F.col("_fail").isNull() & ~blocked)
     label = F.when(F.col("_fail").isNotNull(), "format_fail").when(F.col("is_valid"), "pass").otherwise("warning")
     return d.withColumn("label", label).drop("_a", "_ea", "_ans", "_ana", "_fail")
 
@@ -106,7 +107,7 @@ def salvaged(df: DataFrame, answer: str, question_type: str, expect_analysis: Co
     """
     d = validate(df, answer, question_type, expect_analysis).drop("warnings", "is_valid")
     new = F.when(F.col("label") == "pass", F.col(answer)).otherwise(salvage(F.coalesce(F.col(answer), F.lit("")), F.coalesce(expect_analysis, F.lit(True))))
-    d = d.withColumn("new_answer", new).withColumn("salvaged", (F.col("label") != "pass") & (F.col("new_answer") != F.coalesce(F.col(answer), F.lit(""))))
+    d = once(d, new_answer=new).withColumn("salvaged", (F.col("label") != "pass") & (F.col("new_answer") != F.coalesce(F.col(answer), F.lit(""))))
     d = validate(d.withColumnRenamed("label", "_old"), "new_answer", question_type, expect_analysis).drop("warnings", "is_valid")
     d = d.withColumn("new_label", F.when(F.col("salvaged"), F.col("label")).otherwise(F.col("_old"))).drop("label").withColumnRenamed("_old", "label")
     return d.withColumn("recovered", F.col("salvaged") & (F.col("new_label") == "pass"))
