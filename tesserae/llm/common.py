@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.rows import once
+
 #: Full-width ASCII forms and the ideographic space, mapped to ASCII by a rule (U+FF01..U+FF5E lie 0xFEE0 above ASCII).
 WIDE = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)) + "\u3000"
 NARROW = "".join(chr(c) for c in range(0x21, 0x7F)) + " "
@@ -62,6 +64,18 @@ def ranked(df: DataFrame, group: Sequence[str], key: str, seed: int, buckets: in
     return both.withColumn("rank_in_group", F.col("_before") + F.row_number().over(inside)).drop("_h", "_b", "_rb", "_before", *[f"_r_{c}" for c in cols])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan whose files give fewer partitions than there are cores, dealt out to all cores; other frames as they are.
+
+    Meant for costly work in Python on small tables in few files. Large tables have partitions enough and are not moved.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(x in plan for x in ("Join", "Aggregate", "Window", "Sort", "Repartition", "Generate", "Union")):
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether df has at most `rows` rows; reads no more than one row beyond."""
     return df.limit(rows + 1).count() <= rows
@@ -76,15 +90,6 @@ def maybe_broadcast(df: DataFrame, rows: int = 20_000) -> DataFrame:
 ROOTS = ("srv/rsvqa/dataset", "data/train/rs_images", "d:/rs/dataset")
 
 
-def once(df: DataFrame, **cols: Column) -> DataFrame:
-    """df with more columns, each computed exactly once a row.
-
-    A plain projection is merged into whatever uses it, so that a costly expression used by a filter, a hash and an
-    output would run three times. A one-element generator is not merged.
-    """
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in cols.items()]))))
-
-
 def with_path(df: DataFrame, source: str, name: str, roots: Sequence[str] = ROOTS) -> DataFrame:
     """df with one spelling for every way to write a file's path; null stays null, a blank path becomes null.
 

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import spread
+
 ITEMS_AT_ONCE, WINDOW, OWN, SHARE = 20_000, 6, 6, 0.5
 #: Share of an item's slots that must agree: in Han script six letters are a phrase, in Latin script hardly a word.
 SLOTS_HAN, SLOTS_LATIN = 0.3, 0.5
@@ -162,7 +164,7 @@ class Items:
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", passage_col: str = "passage") -> DataFrame:
     """(item_id, doc_id) for every document that holds at least half of an item's passage."""
     sc = docs.sparkSession.sparkContext
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).where("_text is not null")
+    slim = spread(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).where("_text is not null"))
     out, after = None, None
     base = items.select(F.col(item_col).alias("item_id"), F.col(passage_col).alias("passage")).where("passage is not null and passage <> ''")
     while True:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow
+from .common import narrow, spread
 
 LEAST, SHARE = 12, 0.4
 
@@ -118,7 +118,7 @@ def measure(rows: DataFrame, id_col: str, text_col: str, least: int = LEAST) ->
             yield pd.DataFrame({id_col: pdf[id_col], "letters": [len(t) for t in texts], "repeated_share": share, "longest_repeat": longest})
 
     slim = rows.select(F.col(id_col), letters(F.col(text_col)).alias("_t"))
-    return slim.mapInPandas(run, f"`{id_col}` bigint, letters bigint, repeated_share double, longest_repeat bigint")
+    return spread(slim).mapInPandas(run, f"`{id_col}` bigint, letters bigint, repeated_share double, longest_repeat bigint")
 
 
 def found(rows: DataFrame, id_col: str, text_col: str, share: float = SHARE) -> DataFrame:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, spread
 
 TRAIN_ROWS, TREES, DEPTH, LEAF, SALTS, SMOOTH, PRIOR, THRESHOLD, SEED = 8000, 21, 5, 5, 16, 0.1, 20.0, 0.5, 3407
 FEATURES = ("list_share", "link_share", "link_rate", "tag_share", "stop_rate", "function_rate", "repeat_share", "top_share", "offer_rate", "piece_length", "digit_share", "key_share", "n_units")
@@ -104,7 +104,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
             yield pd.concat([pdf[["doc_id", "host"]].reset_index(drop=True), pd.DataFrame(f, columns=list(FEATURES))], axis=1)
 
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("_text")).where("_text is not null")
-    return slim.mapInPandas(run, "doc_id bigint, host string, " + ", ".join(f"{f} double" for f in FEATURES))
+    return spread(slim).mapInPandas(run, "doc_id bigint, host string, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
 def weak_label() -> Column:
