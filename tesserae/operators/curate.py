@@ -25,13 +25,14 @@ def filter_counts(df: DataFrame, ok: Column) -> DataFrame:
     return df.agg(F.count_if(ok).alias("kept"), F.count_if(~ok).alias("dropped"))
 
 
-def training_rows(df: DataFrame, old_root: str = "", new_root: str = "") -> DataFrame:
-    """Rows of the answers schema as (image, question, answer, question_type, answer_mode).
+def training_rows(df: DataFrame, old_root: str = "", new_root: str = "", *keep: str) -> DataFrame:
+    """Rows of the answers schema as (image, question, answer, question_type, answer_mode), after the columns to keep.
 
     The first message of each role counts, wherever it stands.
     """
     said = lambda role: F.try_element_at(F.filter("messages", lambda m: m["role"] == role), F.lit(1))["content"]
     return df.select(
+        *keep,
         T.remap_image(F.get("images", F.lit(0)), old_root, new_root).alias("image"),
         T.strip_image_token(said("user")).alias("question"),
         T.strip(said("assistant")).alias("answer"),
