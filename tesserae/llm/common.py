@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.rows import once
+from ..functions.rows import cut, once
 
 #: Full-width ASCII forms and the ideographic space, mapped to ASCII by a rule (U+FF01..U+FF5E lie 0xFEE0 above ASCII).
 WIDE = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)) + "\u3000"
@@ -22,19 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df on reliable storage and cut its lineage.
-
-    The folder is spark.checkpoint.dir as the cluster names it; only where that is unset (tests, notebooks)
-    a temporary folder is used.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        at = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(at or os.path.join(tempfile.gettempdir(), "tesserae-checkpoints"))
-    return df.checkpoint(eager=True)
-
-
 def narrow(c: Column) -> Column:
     return F.translate(c, WIDE, NARROW)
 
