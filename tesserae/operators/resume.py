@@ -20,9 +20,13 @@ def stages(samples: DataFrame, described: DataFrame, asked: DataFrame, image: st
 
 
 def pending_answers(samples: DataFrame, asked: DataFrame, answered: DataFrame, image: str = "image_path") -> DataFrame:
-    """Questions of sampled pictures without an answer; a question asked twice of one picture is pending twice."""
+    """Questions of sampled pictures without an answer; a question asked twice of one picture is pending twice.
+
+    asked has one row per picture with the array `questions`, or one row per question (question_type, question), which
+    suits pictures with very many questions: they spread over the join on (picture, question).
+    """
     mine = asked.join(samples.select(image).distinct(), image, "left_semi")
-    each = mine.select(F.col(image), F.explode("questions").alias("q")).select(image, "q.question_type", "q.question")
+    each = mine.select(image, "question_type", "question") if "question" in asked.columns else mine.select(F.col(image), F.explode("questions").alias("q")).select(image, "q.question_type", "q.question")
     return each.join(answered.select(image, "question").distinct(), [image, "question"], "left_anti")
 
 

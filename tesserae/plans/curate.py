@@ -30,11 +30,10 @@ def _paths(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _responses(spark: SparkSession, d: str) -> DataFrame:
-    """The questions of each picture as a model would list them: one 'type|question' a line, in id order."""
-    s = table(spark, d, "val").where("image is not null")
-    line = F.concat(F.coalesce("question_type", F.lit("")), F.lit("|"), F.coalesce("question", F.lit("")))
-    lines = F.array_sort(F.collect_list(F.struct("val_id", line.alias("l"))))  # a picture of val has few rows
-    return s.groupBy("image").agg(F.array_join(F.transform(lines, lambda x: x["l"]), "\n").alias("response"))
+    """A model's list of questions for each row: its own, one of an unknown type, one without a bar, and a second one."""
+    q = F.coalesce("question", F.lit(""))
+    lines = F.concat(F.coalesce("question_type", F.lit("")), F.lit("|"), q, F.lit("\nfoo|x\n无分隔\n Counting | "), q, F.lit("\nlocation|a|b"))
+    return table(spark, d, "sft").select("sft_id", lines.alias("response"))
 
 
 def _rewards(spark: SparkSession, d: str) -> DataFrame:
@@ -70,7 +69,7 @@ QUERIES = {
     "missing_files": lambda spark, d: C.missing_files(table(spark, d, "sft").select(T.flat_path(F.col("image")).alias("image")), "image", table(spark, d, "manifest").select(T.flat_path(F.col("image_path")).alias("p")), "p"),
     "content_blocks": _blocks,
     "rewrite_user_turn": lambda spark, d: _answers(spark, d).select("sft_id", C.rewrite_role(F.col("messages"), "user", PROMPT).alias("m")).select("sft_id", F.col("m")[0]["content"].alias("user_text"), F.col("m")[1]["content"].alias("assistant_text")),
-    "parse_questions": lambda spark, d: R.parse_questions(_responses(spark, d), "response", 3).select("image", "i", "question_type", "question"),
+    "parse_questions": lambda spark, d: R.parse_questions(_responses(spark, d), "response", 2).select("sft_id", "i", "question_type", "question"),
     "parse_reward": _rewards,
     "last_wins": _latest,
     "json_props": lambda spark, d: table(spark, d, "events").select(F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("cnt")),
@@ -108,11 +107,11 @@ SQL = {
     "missing_files": f"select distinct {_FLAT('image')} as image from sft where image is not null and {_FLAT('image')} not in (select {_FLAT('image_path')} from manifest where image_path is not null)",
     "content_blocks": f"select sft_id, cast((length(coalesce(question, '')) - length(replace(coalesce(question, ''), '<image>', ''))) / 7 as bigint) as images, {strip_sql(f'coalesce({_NOTOKEN}, chr(32))')} as text from sft",
     "rewrite_user_turn": f"select sft_id, '{PROMPT}' as user_text, answer as assistant_text from sft",
-    "parse_questions": f"""with l as (select image, val_id, {strip_sql('coalesce(question_type, $$$$)')} as t0, coalesce(question, '') as q from val where image is not null),
-        x as (select image, val_id, unnest(string_split(t0 || '|' || q, chr(10))) as line, generate_subscripts(string_split(t0 || '|' || q, chr(10)), 1) as k from l),
-        y as (select image, val_id, k, lower({strip_sql('split_part(line, $$|$$, 1)')}) as question_type, {strip_sql('regexp_replace(line, $$^[^|]*[|]$$, $$$$)')} as question from x where contains(line, '|')),
-        z as (select *, row_number() over (partition by image order by val_id, k) as i from y where question <> '' and question_type in ('existence', 'attribute', 'location', 'spatial_relation', 'counting', 'unanswerable', 'ambiguous'))
-        select image, i, question_type, question from z where i <= 3""",
+    "parse_questions": f"""with l as (select sft_id, {strip_sql('coalesce(question_type, $$$$) || $$|$$ || coalesce(question, $$$$) || chr(10) || $$foo|x$$ || chr(10) || $$无分隔$$ || chr(10) || $$ Counting | $$ || coalesce(question, $$$$) || chr(10) || $$location|a|b$$')} as r from sft),
+        x as (select sft_id, unnest(string_split(r, chr(10))) as line, generate_subscripts(string_split(r, chr(10)), 1) as k from l),
+        y as (select sft_id, k, lower({strip_sql('split_part(line, $$|$$, 1)')}) as question_type, {strip_sql('regexp_replace(line, $$^[^|]*[|]$$, $$$$)')} as question from x where contains(line, '|')),
+        z as (select *, row_number() over (partition by sft_id order by k) as i from y where question <> '' and question_type in ('existence', 'attribute', 'location', 'spatial_relation', 'counting', 'unanswerable', 'ambiguous'))
+        select sft_id, i, question_type, question from z where i <= 2""",
     "parse_reward": "select pred_id, case when pred_id % 3 = 0 then length(coalesce(prediction, '')) / 10.0::double else 0.0::double end as reward from val_pred",
     "last_wins": "select user_id, event_id, event_type, value from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1",
     "json_props": "select try_cast(json_extract_string(props, '$.k') as bigint) as k, count(*) as cnt from events group by 1",

@@ -39,10 +39,9 @@ def _items(mode: str):
 
 
 def _asked(spark: SparkSession, d: str) -> DataFrame:
-    """(image_path, questions): generated questions of each picture, from the training rows of distill mode."""
+    """(image_path, question_type, question): generated questions, from the training rows of distill mode."""
     s = table(spark, d, "sft").where("answer_mode = 'distill' and image is not null and question is not null")
-    q = F.collect_list(F.struct("sft_id", F.col("question_type"), F.col("question")))
-    return s.groupBy(F.col("image").alias("image_path")).agg(F.transform(F.array_sort(q), lambda x: F.struct(x["question_type"].alias("question_type"), x["question"].alias("question"))).alias("questions"))
+    return s.select(F.col("image").alias("image_path"), "question_type", "question")
 
 
 def _listing(spark: SparkSession, d: str) -> DataFrame:
