@@ -45,6 +45,25 @@ def suffix_order(codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nd
         rank, k = new, k * 2
 
 
+def neighbours(text: list[int], order: list[int]) -> list[int]:
+    """Longest common prefixes of neighbouring suffixes of one text (Kasai), the first being 0."""
+    n = len(text)
+    place, lcp, h = [0] * n, [0] * n, 0
+    for i, p in enumerate(order):
+        place[p] = i
+    for p in range(n):
+        r = place[p]
+        if not r:
+            h = 0
+            continue
+        q = order[r - 1]
+        while p + h < n and q + h < n and text[p + h] == text[q + h]:
+            h += 1
+        lcp[r] = h
+        h = max(0, h - 1)
+    return lcp
+
+
 def repeats(texts: list[str], least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """Per text: the share of letters in stretches of `least` or more that occurred earlier in it, and the longest repeat."""
     sizes = np.array([len(t) for t in texts], np.int64)
@@ -72,11 +91,10 @@ def repeats(texts: list[str], least: int = LEAST) -> tuple[np.ndarray, np.ndarra
         live = live[ok]
         length[live] += 1
         step += 1
-        if step >= 64 and len(live):  # long repeats (up to whole texts): finish each by doubling on blocks
-            for i in live:
-                p, q, m = int(a[i]), int(b[i]), int(min(ends[a[i]] - a[i], ends[b[i]] - b[i]))
-                diff = np.flatnonzero(codes[p + step : p + m] != codes[q + step : q + m])
-                length[i] = step + (int(diff[0]) if len(diff) else m - step)
+        if step >= 64 and len(live):  # long repeats: their texts one by one, each in linear time
+            for d in np.unique(doc[a[live]]):
+                lo, hi = int(stop[d] - size[d]), int(stop[d])
+                length[lo : hi - 1] = neighbours(codes[lo:hi].tolist(), (mine[lo:hi] - lo).tolist())[1:]
             break
     lcp[1:] = length
     # LCP intervals of at least `least`: a suffix whose interval holds an earlier start is covered as far as their common prefix
