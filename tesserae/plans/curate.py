@@ -123,6 +123,8 @@ SQL = {
     "event_stats": f"with {_REG} select event, count(*) as ids, cast(count(pre) + count(post) as bigint) as files from g group by 1",
     "image_pairs": f"""with {_PATHS}, n as (select regexp_extract(path, '([^/]*)$', 1) as file, path from p)
         select a.file, a.path as path_a, b.path as path_b from n a join n b using (file) where a.path like '%/im1/%' and b.path like '%/im2/%'""",
+    "stats_json": """with c as (select 'phase3_completed' as metric, count(*) as value from sft union all select 'dataset_' || coalesce(source_dataset, 'None'), count(*) from sft group by 1)
+        select '{' || string_agg('"' || metric || '":' || value, ',' order by metric) || '}' as stats from c""",
     "run_counters": """select 'phase3_completed' as metric, count(*) as value from sft union all select 'dataset_' || coalesce(source_dataset, 'None'), count(*) from sft group by 1
         union all select 'type_' || coalesce(question_type, 'None'), count(*) from sft group by 1""",
 }
