@@ -36,7 +36,7 @@ PLAIN = frozenset("the a an on at in near after within every night batch some no
 #: Endings of Chinese place names.
 PLACES = "镇|岛|港|农场|河湾|山口|台地|支线|机房|图幅"
 _BREAK = re.compile(r"[^\w]+|_", re.UNICODE)
-_PRIME, _MASK = np.uint64(1_099_511_628_211), np.uint64(0xFFFFFFFFFFFFFFFF)
+_PRIME = np.uint64(1_099_511_628_211)
 
 
 def fold(text: str) -> str:
@@ -59,29 +59,22 @@ def stream(text: str) -> str:
     return _BREAK.sub("", fold(text))
 
 
-def template(letters: str, names: re.Pattern | None) -> tuple[str, np.ndarray]:
-    """Template of a letter run, with the place in the run where each template letter begins."""
-    out, at, last = [], [], 0
-    pat = _NUMBER if names is None else names
-    for m in pat.finditer(letters):
-        a, b = m.span()
-        out.append(letters[last:a])
-        at.extend(range(last, a))
-        out.append(NUM if m.group()[0].isdigit() else NAME)
-        at.append(a)
-        last = b
-        u = _UNIT.match(letters, b) if m.group()[0].isdigit() else None
-        if u:
-            out.append(UNIT)
-            at.append(b)
-            last = u.end()
-    out.append(letters[last:])
-    at.extend(range(last, len(letters)))
-    return "".join(out), np.array(at, np.int64)
+def names_pattern(names: set[str]) -> re.Pattern | None:
+    """One pattern for all names, by first letter, so that a text is skipped through quickly; longer names first."""
+    by: dict[str, list[str]] = {}
+    for n in sorted(names, key=lambda x: (-len(x), x)):
+        by.setdefault(n[0], []).append(re.escape(n[1:]))
+    return re.compile("|".join(f"{re.escape(c)}(?:{'|'.join(rest)})" for c, rest in sorted(by.items()))) if by else None
 
 
 _NUMBER = re.compile(r"\d+")
-_UNIT = re.compile(UNITS)
+_MEASURE = re.compile(rf"\d+{UNITS}")
+
+
+def template(letters: str, names: re.Pattern | None) -> str:
+    """A letter run with typed placeholders for names, for numbers with units, and for other numbers."""
+    t = names.sub(NAME, letters) if names else letters
+    return _NUMBER.sub(NUM, _MEASURE.sub(NUM + UNIT, t))
 
 
 def windows(s: str, k: int) -> np.ndarray:
@@ -102,31 +95,32 @@ class Items:
 
     def __init__(self, ids: list[int], passages: list[str]) -> None:
         self.ids, self.runs = ids, [stream(p) for p in passages]
-        names = sorted({n for p in passages for n in names_of(p)}, key=lambda x: (-len(x), x))
-        self.names = re.compile(r"\d+" + "".join("|" + re.escape(n) for n in names)) if names else _NUMBER
+        self.names = names_pattern({n for p in passages for n in names_of(p)})
         hashes, owner, self.need = [], [], []
-        self.slots: list[list[tuple[int, int, str]]] = []
+        self.slots: list[list[tuple[int, int]]] = []
         self.own = [windows(r, OWN) for r in self.runs]
         self.latin = [2 * sum(c.isascii() for c in r) > len(r) for r in self.runs]
         for i, r in enumerate(self.runs):
-            t, _ = template(r, self.names)
-            h = np.unique(windows(t, WINDOW))
+            h = np.unique(windows(template(r, self.names), WINDOW))
             hashes.append(h)
             owner.append(np.full(len(h), i))
             self.need.append(len(h))
-            self.slots.append([(m.start(), m.end(), m.group()) for m in self.names.finditer(r)])
+            self.slots.append([m.span() for pat in (self.names, _NUMBER) if pat for m in pat.finditer(r)])
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         o = np.concatenate(owner) if owner else np.zeros(0, np.int64)
         order = np.argsort(h, kind="stable")
         self.h, self.o = h[order], o[order].astype(np.int64)
+        self.mask = np.uint64((1 << max(16, (8 * len(h)).bit_length())) - 1)
+        self.may = np.zeros(int(self.mask) + 1, bool)  # a filter of one hash; it lets no window of an item slip
+        self.may[self.h & self.mask] = True
 
     def meet(self, text: str) -> list[int]:
         """Positions of the items that the document holds at least half of, in their own words."""
         run = stream(text)
         if len(run) < OWN or not len(self.h):
             return []
-        t, _ = template(run, self.names)
-        d = np.unique(windows(t, WINDOW))
+        d = windows(template(run, self.names), WINDOW)
+        d = np.unique(d[self.may[d & self.mask]])  # most windows of most documents end here
         lo, hi = np.searchsorted(self.h, d, "left"), np.searchsorted(self.h, d, "right")
         hit = hi > lo
         if not hit.any():
@@ -157,7 +151,7 @@ class Items:
         if not slots:
             return True
         # a slot is the same if it and the letters beside it are covered: its number or name stands in its own template place
-        same = [bool(covered[max(0, a - 1) : b + 1].all()) for a, b, _ in slots]
+        same = [bool(covered[max(0, a - 1) : b + 1].all()) for a, b in slots]
         return sum(same) >= (SLOTS_LATIN if self.latin[i] else SLOTS_HAN) * len(same)
 
 
