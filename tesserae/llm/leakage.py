@@ -3,7 +3,8 @@
 Method: template canonicalisation. Passages and documents become runs of letters in which numbers, the names that the
 passages speak of, and units are typed placeholders; windows of the templates are hashed and joined; where enough
 windows of an item meet in a document, the slots are checked (the same numbers and names in the same template places)
-so that sentences merely built alike do not count, and the passage's own letters are aligned with the document's.
+so that sentences merely built alike do not count, and the passage's own letters are aligned with the document's. A
+document that holds only a part of a passage cannot have the slots of the rest: verbatim parts count by their letters.
 
 Evaluation items are the query set: they are broadcast in blocks of at most `ITEMS_AT_ONCE` items, each block against all
 documents, whatever their number. Documents are read whole and only once per block; nothing is shuffled but the pairs.
@@ -28,6 +29,8 @@ from .common import spread
 ITEMS_AT_ONCE, WINDOW, OWN, SHARE = 20_000, 6, 6, 0.5
 #: Share of an item's slots that must agree: in Han script six letters are a phrase, in Latin script hardly a word.
 SLOTS_HAN, SLOTS_LATIN = 0.3, 0.5
+#: Share of a passage that a verbatim stretch with a slot of its own must have to count as a part of it.
+PART = 0.15
 #: Units after numbers.
 UNITS = r"(?:米|公里|千米|天|日|年|月|级|张|幅|座|块|处|组|成|次|个|像元|号|批|%|％|meters?|kilometers?|km|days?|years?|months?|levels?|pixels?|times?|tenths?|frames?|stacks?|pieces?)"
 NUM, NAME, UNIT = "", "", ""
@@ -152,7 +155,25 @@ class Items:
             return True
         # a slot is the same if it and the letters beside it are covered: its number or name stands in its own template place
         same = [bool(covered[max(0, a - 1) : b + 1].all()) for a, b in slots]
-        return sum(same) >= (SLOTS_LATIN if self.latin[i] else SLOTS_HAN) * len(same)
+        if sum(same) >= (SLOTS_LATIN if self.latin[i] else SLOTS_HAN) * len(same):
+            return True
+        return self.parts(i, run, at) >= SHARE * size
+
+    def parts(self, i: int, run: str, at: np.ndarray) -> int:
+        """Letters of the passage in verbatim parts: stretches of at least PART that stand unbroken in the document, with a slot."""
+        r, found = self.runs[i], np.zeros(len(self.runs[i]), bool)
+        # windows side by side may come from several places of the document, so the longest of these runs are searched for as they are
+        spans = [(int(g[0]), int(g[-1]) + OWN) for g in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1)]
+        spans = [(a, b) for a, b in spans if b - a >= PART * len(r)]
+        for a, b in spans if sum(b - a for a, b in spans) >= SHARE * len(r) else ():
+            end = a
+            for start in range(a, b):
+                before, end = end, max(end, start)
+                while end < b and r[start : end + 1] in run:
+                    end += 1
+                if end > before and end - start >= PART * len(r) and any(start <= max(0, x - 1) and min(len(r), y + 1) <= end for x, y in self.slots[i]):
+                    found[start:end] = True
+        return int(found.sum())
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", passage_col: str = "passage") -> DataFrame:

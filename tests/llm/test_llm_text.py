@@ -131,6 +131,17 @@ def test_leaks(rows):
     assert L.leaks(d, items.where("item_id < 0")).count() == 0 and L.leaks(d.where("doc_id < 0"), items).count() == 0
 
 
+def test_leaks_of_a_part_without_the_slots_of_the_rest(rows):
+    night = "Night shots of Doul show the green belt at the center-left some 306 levels brighter than the stadium. The Lorrinva desk sorted 647 frames into 2 stacks by their ratio of wall to parking lot."
+    view = "从岚榆山口望去，暗褐色的体育场依次排到第384号界桩。桉荻港上方边缘的池塘与集装箱共用一条便道，便道宽约2个像元。洄渚机房把557幅影像按鱼塘与船舶的比例分成5组。榆渚岛西侧新修的水塔取代了5座深绿色绿化带。"
+    filler, first, parts = "统计口径按独立目标计算，连片围墙只算一处。" * 5, night.split(" The ")[0], view.split("。")
+    alike = night.replace("Doul", "Kaven").replace("306", "41").replace("Lorrinva", "Mikatel").replace("647", "98").replace(" 2 ", " 7 ")
+    docs = [filler + first + filler, filler + parts[1] + filler + parts[3] + filler, filler + alike + filler, filler + first[:60] + filler, filler + parts[3] + filler]
+    items = rows([(1, night, 0), (2, view, 0)], "item_id long, passage string, doc_id long")
+    d = rows([(100 + i, t, "p") for i, t in enumerate(docs)], "doc_id long, text string, passage string")
+    assert sorted((r.item_id, r.doc_id) for r in L.leaks(d, items).collect()) == [(1, 100), (2, 101)]
+
+
 def test_leaks_in_blocks(rows, monkeypatch):
     monkeypatch.setattr(L, "ITEMS_AT_ONCE", 1)
     items, d = rows([(1, PASSAGE), (2, ENGLISH)], "item_id long, passage string"), rows([(9, PASSAGE + ENGLISH)], "doc_id long, text string")
