@@ -14,8 +14,10 @@ empty result; limits that are null or below 1 are ignored.
 from __future__ import annotations
 
 import os
-from bisect import bisect_right, insort
+import random
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,7 +28,7 @@ from .common import cut, maybe_broadcast, spread
 TOKENIZER = os.environ.get("TESSERAE_TOKENIZER", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 #: Fixed value: the published pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-BLOCK, FULL, NODES, BRANCH, LIMITS = 3000, 0.995, 4000, 4, 100
+BLOCK, FULL, NODES, BRANCH, LIMITS, PIECES, TRIES = 3000, 0.995, 4000, 4, 100, 400, 48
 
 
 def token_counts(docs: DataFrame, id_col: str, text_col: str, tokenizer: str = TOKENIZER) -> DataFrame:
@@ -60,14 +62,16 @@ def fillings(sizes: list[int], room: int) -> list[tuple[int, ...]]:
     out[sizes[i]] = (i,)
     if sizes[i] == room:
         return [(i,)]
-    pairs, lo, hi = [], 0, i
-    while lo < hi:  # two pointers: for each smaller piece the largest partner
-        s = sizes[lo] + sizes[hi]
-        if s <= room:
-            pairs.append((s, lo, hi))
-            lo += 1
-        else:
-            hi -= 1
+    hi, full = bisect_right(sizes, room // 2, 0, i + 1) - 1, 0
+    pairs = []
+    for lo in range(min(hi, i - 1), -1, -1):  # two pointers from the middle: for each smaller piece the largest partner
+        while hi < i and sizes[hi + 1] <= room - sizes[lo]:
+            hi += 1
+        if hi > lo:
+            pairs.append((sizes[lo] + sizes[hi], lo, hi))
+            full += pairs[-1][0] == room
+            if full == BRANCH:  # those that come later are no fuller and rank behind
+                break
     pairs.sort(reverse=True)
     for s, a, b in pairs[:BRANCH]:
         out.setdefault(s, (a, b))
@@ -102,48 +106,125 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def complete(sizes: list[int], capacity: int, nodes: int = NODES) -> list[list[int]]:
-    """Bin completion: positions by container, never more containers than best-fit decreasing."""
-    best = best_fit(sizes, capacity)
-    total = sum(sizes)
-    least = -(-total // capacity)
-    if len(best) <= max(1, least):
-        return best
-    spent = 0
-    # depth first; each level holds the pieces left (ascending), the alternatives not yet tried, and the waste so far
-    left = sorted((s, i) for i, s in enumerate(sizes))
-    made: list[list[int]] = []
-    stack: list[tuple[list[tuple[int, int]], list[tuple[int, ...]], int]] = []
-
-    def options(rest: list[tuple[int, int]]) -> list[tuple[int, ...]]:
-        return fillings([s for s, _ in rest[:-1]], capacity - rest[-1][0])
-
-    stack.append((left, options(left), 0))
-    while stack and spent < nodes:
-        rest, todo, waste = stack[-1]
-        if not todo:
-            stack.pop()
+def bound(sizes: list[int], capacity: int) -> int:
+    """Containers needed at least: by the space, and with pieces over half a container that share none (Martello and Toth)."""
+    s = sorted(sizes)
+    sums = [0, *accumulate(s)]
+    half = bisect_right(s, capacity // 2)
+    need = -(-sums[-1] // capacity)
+    for k in sorted(set(s[:half])):
+        lo, hi = bisect_left(s, k), max(half, bisect_right(s, capacity - k))
+        free = (hi - half) * capacity - (sums[hi] - sums[half])  # room beside the pieces over half that may still take one of size k
+        need = max(need, len(s) - half + max(0, -(-(sums[half] - sums[lo] - free) // capacity)))
+    return need
+
+
+def search(sizes: list[int], capacity: int, most: int, nodes: int) -> tuple[list[list[int]] | None, int]:
+    """Depth first for at most `most` containers: positions by container, None if there are none or the budget ends; nodes spent.
+
+    A node is one container around the largest piece left, with a filling that leaves no room for any other piece; a
+    branch ends when it has wasted more than `most` containers may, so every leaf that is reached is a solution.
+    """
+    rest = sorted((s, i) for i, s in enumerate(sizes))
+    keys = [s for s, _ in rest]
+    allowed, spent = most * capacity - sum(sizes), 0
+    made: list[list[tuple[int, int]]] = []
+    wasted = [0]
+
+    def options() -> list[tuple[int, list[int]]]:
+        below, out = keys[:-1], {}
+        for pick in fillings(below, capacity - keys[-1]):
+            room, chosen = capacity - keys[-1] - sum(below[p] for p in pick), set(pick)
+            j = bisect_right(below, room) - 1
+            while j >= 0:  # any number of pieces: the largest that still fits
+                if j in chosen:
+                    j -= 1
+                    continue
+                chosen.add(j)
+                room -= below[j]
+                j = min(j - 1, bisect_right(below, room) - 1)
+            out.setdefault(tuple(sorted(below[p] for p in chosen)), (room, sorted(chosen, reverse=True)))
+        return sorted(out.values(), key=lambda x: (x[0], len(x[1])))
+
+    if not rest or allowed < 0:
+        return ([] if not rest else None), 0
+    todo = [options()]
+    while todo:
+        if not todo[-1] or wasted[-1] + todo[-1][0][0] > allowed:  # the fullest comes first: no later one wastes less
+            todo.pop()
             if made:
-                made.pop()
+                wasted.pop()
+                for x in made.pop():
+                    j = bisect_left(rest, x)
+                    rest.insert(j, x)
+                    keys.insert(j, x[0])
             continue
-        pick = todo.pop(0)
+        if spent >= nodes:
+            return None, spent
+        room, pick = todo[-1].pop(0)
         spent += 1
-        used = rest[-1][0] + sum(rest[p][0] for p in pick)
-        more = waste + capacity - used
-        allowed = (len(best) - 1) * capacity - total  # waste of a solution with one container less
-        if more > allowed:
-            continue
-        gone = set(pick)
-        made.append([rest[-1][1], *(rest[p][1] for p in pick)])
-        nxt = [x for p, x in enumerate(rest[:-1]) if p not in gone]
-        if not nxt:
-            best = [list(b) for b in made]
-            made.pop()
-            if len(best) <= least:
-                return best
-            continue
-        stack.append((nxt, options(nxt), more))
-    # pieces beyond the budget: the deepest open branch, completed by best fit, may still be better
+        made.append([rest.pop(), *(rest[p] for p in pick)])
+        keys.pop()
+        for p in pick:
+            del rest[p], keys[p]
+        wasted.append(wasted[-1] + room)
+        if not rest:
+            return [[i for _, i in b] for b in made], spent
+        todo.append(options())
+    return None, spent
+
+
+def complete(sizes: list[int], capacity: int, nodes: int = NODES) -> list[list[int]]:
+    """Bin completion: positions by container, never more containers than best-fit decreasing.
+
+    Parts of the block come first: the emptiest containers, which together waste one at least, are packed anew with some
+    of the others. Then the whole block is searched, with a node for each container
+    besides its budget, so that leaves are in reach at any size.
+    """
+    best = best_fit(sizes, capacity)
+    least = bound(sizes, capacity)
+    if len(best) > max(1, least):
+        first = greedy_completion(sizes, capacity)
+        best = first if len(first) < len(best) else best
+    best = repack(sizes, capacity, best, least, 3 * nodes)
+    left = len(best) + (nodes if len(sizes) <= 400 else max(50, nodes * 400 // len(sizes)))
+    while left > 0 and len(best) > max(1, least):
+        found, spent = search(sizes, capacity, len(best) - 1, left)
+        left -= spent
+        if found is None:
+            break
+        best = found
+    return best
+
+
+def repack(sizes: list[int], capacity: int, best: list[list[int]], least: int, nodes: int) -> list[list[int]]:
+    """Save containers by searching parts of about `PIECES` pieces."""
+    rng, left = random.Random(0), nodes
+    for _ in range(TRIES):
+        if left <= 0 or len(best) <= max(1, least):
+            break
+        room = [capacity - sum(sizes[i] for i in b) for b in best]
+        order = sorted(range(len(best)), key=lambda j: (-room[j], j))
+        part, free, n = [], 0, 0
+        for k, j in enumerate(order):
+            if free >= capacity:
+                others = order[k:]
+                rng.shuffle(others)
+                while others and n < PIECES:
+                    part.append(others.pop())
+                    n += len(best[part[-1]])
+                break
+            part.append(j)
+            free += room[j]
+            n += len(best[j])
+        if free < capacity:
+            break
+        at = [i for j in part for i in best[j]]
+        found, spent = search([sizes[i] for i in at], capacity, len(part) - 1, min(left, nodes // TRIES + len(at)))
+        left -= max(1, spent)
+        if found is not None:
+            keep = set(part)
+            best = [b for j, b in enumerate(best) if j not in keep] + [[at[i] for i in b] for b in found]
     return best
 
 
@@ -174,10 +255,8 @@ def greedy_completion(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 def pack(sizes: list[int], capacity: int) -> list[list[int]]:
-    """The better of the exact search, as far as its node budget goes, and the search's first branch."""
-    a = greedy_completion(sizes, capacity)
-    b = complete(sizes, capacity, NODES if len(sizes) <= 400 else max(50, NODES * 400 // len(sizes)))
-    return a if len(a) < len(b) else b
+    """Bin completion, as far as its node budget goes."""
+    return complete(sizes, capacity)
 
 
 def _solve(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -38,6 +38,25 @@ def test_large_case_wastes_little():
     assert P.pack([], 5) == [] and P.pack([0, 0], 5) in ([[0, 1]], [[1, 0]])
 
 
+def test_search_reaches_the_bound_on_a_production_block():
+    rng = random.Random(1)
+    sizes = [rng.randrange(20, 400) for _ in range(P.BLOCK)]
+    bins = P.pack(sizes, 512)
+    assert sorted(i for b in bins for i in b) == list(range(P.BLOCK)) and all(sum(sizes[i] for i in b) <= 512 for b in bins)
+    assert len(bins) == P.bound(sizes, 512) < len(P.best_fit(sizes, 512))
+
+
+def test_bound_and_fillings_of_many_pieces():
+    rng = random.Random(6)
+    for _ in range(40):
+        sizes = [rng.randrange(1, 60) for _ in range(7)]
+        assert P.bound(sizes, 60) <= best(sizes, 60)
+    sizes = [7, 6, 5, 5, 4, 3] * 4
+    found, spent = P.search(sizes, 30, 4, 500)
+    assert found and spent < 500 and sorted(i for b in found for i in b) == list(range(24)) and [sum(sizes[i] for i in b) for b in found] == [30] * 4
+    assert P.search(sizes, 30, 3, 500) == (None, 0) and P.bound([], 5) == 0
+
+
 @tokenizer
 def test_fill(rows):
     rng = random.Random(8)
