@@ -9,7 +9,8 @@ document that holds only a part of a passage cannot have the slots of the rest:
 Evaluation items are the query set: they are broadcast in blocks of at most `ITEMS_AT_ONCE` items, each block against all
 documents, whatever their number. Documents are read whole and only once per block; nothing is shuffled but the pairs.
 
-Defined results: null and empty passages and texts meet nothing; very short passages need all of their windows; equal
+Defined results: null and empty passages and texts meet nothing; a passage whose template has
+no window is judged by its own letters, and one of fewer than six letters must stand whole, as words of its own; equal
 documents are reported each; windows over several sentences are bridged where a document reorders or breaks them.
 """
 
@@ -93,6 +94,12 @@ def windows(s: str, k: int) -> np.ndarray:
     return h
 
 
+def whole_pattern(letters: str) -> re.Pattern:
+    """A few letters as they may stand in a folded text: marks between them, and no Latin letter or digit beside their own."""
+    before, after = (r"(?<![a-z0-9])" if letters[0].isascii() else ""), (r"(?![a-z0-9])" if letters[-1].isascii() else "")
+    return re.compile(before + r"[\W_]*".join(map(re.escape, letters)) + after)
+
+
 class Items:
     """Index of a block of items: sorted template windows with the items that hold them, and own-letter windows."""
 
@@ -116,10 +123,17 @@ class Items:
         self.mask = np.uint64((1 << max(16, (8 * len(h)).bit_length())) - 1)
         self.may = np.zeros(int(self.mask) + 1, bool)  # a filter of one hash; it lets no window of an item slip
         self.may[self.h & self.mask] = True
+        self.few = [i for i, r in enumerate(self.runs) if r and not self.need[i]]  # no window leads to these
+        self.whole = {i: whole_pattern(self.runs[i]) for i in self.few if not len(self.own[i])}
 
     def meet(self, text: str) -> list[int]:
         """Positions of the items that the document holds at least half of, in their own words."""
         run = stream(text)
+        few = [i for i in self.few if (self.whole[i].search(fold(text)) if i in self.whole else len(run) >= OWN and self.holds(i, run, np.unique(windows(run, OWN))))]
+        return few + self.meet_windows(run)
+
+    def meet_windows(self, run: str) -> list[int]:
+        """The same for the items that have template windows."""
         if len(run) < OWN or not len(self.h):
             return []
         d = windows(template(run, self.names), WINDOW)
@@ -141,8 +155,6 @@ class Items:
     def holds(self, i: int, run: str, own: np.ndarray) -> bool:
         """Whether half of the passage's letters lie in windows that the document has, slots included."""
         h, size = self.own[i], len(self.runs[i])
-        if not len(h):
-            return bool(self.runs[i]) and self.runs[i] in run
         at = np.flatnonzero(own[np.minimum(np.searchsorted(own, h), len(own) - 1)] == h)
         mark = np.zeros(size + 1, np.int64)
         np.add.at(mark, at, 1)

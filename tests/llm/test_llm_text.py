@@ -142,6 +142,13 @@ def test_leaks_of_a_part_without_the_slots_of_the_rest(rows):
     assert sorted((r.item_id, r.doc_id) for r in L.leaks(d, items).collect()) == [(1, 100), (2, 101)]
 
 
+def test_leaks_of_very_short_passages(rows):
+    items = rows([(1, "东侧铁路", 0), (2, "No 42", 0), (3, "第1234567号", 0), (4, "！", 0), (5, ENGLISH, 0)], "item_id long, passage string, doc_id long")
+    docs = ["图中东侧、铁路旁有水塔。", "东侧铁路", "Pier no. 42 is red.", "Casino 421 is red.", "第1234567号样本", "第7654321号样本", "", None]
+    d = rows([(100 + i, t, "p") for i, t in enumerate(docs)], "doc_id long, text string, passage string")
+    assert sorted((r.item_id, r.doc_id) for r in L.leaks(d, items).collect()) == [(1, 100), (1, 101), (2, 102), (3, 104)]
+
+
 def test_leaks_in_blocks(rows, monkeypatch):
     monkeypatch.setattr(L, "ITEMS_AT_ONCE", 1)
     items, d = rows([(1, PASSAGE), (2, ENGLISH)], "item_id long, passage string"), rows([(9, PASSAGE + ENGLISH)], "doc_id long, text string")
