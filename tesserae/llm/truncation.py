@@ -1,31 +1,38 @@
 """Problem 4: text cut off by field limits.
 
-Method: a vocabulary trie over the whole corpus, kept as a table of nodes. Texts are cut into tokens at punctuation (a
-token is a clause for scripts without spaces); each token counts as a complete word of the vocabulary, as one that ends
-a sentence or one that goes on after a comma, and each of its prefixes is a node of the trie. A text without final punctuation is cut if
-its final token is an unknown proper prefix of known tokens, or is only known to go on; the ending of tokens decides
-where the token itself is unknown, and texts at a length at which their source's texts pile up need stronger evidence of
-being complete.
+Method: a vocabulary trie over the whole corpus, kept as a table of the nodes that are asked for. Texts are cut into tokens
+at punctuation (a token is a clause for scripts without spaces); each token counts as a complete word of the vocabulary, as
+one that ends a sentence or one that goes on after a comma, and each of its prefixes is a node of the trie. A text without
+final punctuation is cut if its final token is an unknown proper prefix of known tokens, or is only known to go on; the
+ending of tokens decides where the token itself is unknown, a bracket or quotation mark left open is a cut, and texts at a
+length at which their source's texts pile up need stronger evidence of being complete.
 
 Defined results: null and blank texts are not cut (they are empty, not truncated); a text that ends in a broken
-character (U+FFFD) is cut; a finished text without final punctuation, a short answer or a missing end tag is not; very
-long tokens are judged by their last 64 letters; repeated rows are judged alike.
+character (U+FFFD) is cut; a finished text without final punctuation, a short answer or a missing end tag is not; tokens of
+any length are looked up whole; repeated rows are judged alike.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, cut, once
+from .common import SPACE, cut, fits, maybe_broadcast, once
 
 #: What ends a sentence, what only ends a clause, and the marks that may follow an end.
 STOPS, COMMAS, CLOSERS = "。．.!！?？…", ",，、;；:：", "\"'”’」』)）】》〉~"
+#: Brackets and quotation marks that open and, in the same order, close.
+OPENING, CLOSING = "（(【[《「『“", "）)】]》」』”"
 #: Number words, which stand for any number in the vocabulary.
 NUMBERS = "0-9一二三四五六七八九十百千万两〇零"
 #: What stands for a missing value.
 STAND_INS = r"null|none|n/?a|nan|nil|tbd|todo|undefined|missing|empty|unknown|待补充|待填写|待定|暂无|暂缺|缺失|空缺|空值|未填写|未填|无内容|无答案|没有内容"
-DEPTH = 64
+#: Letters by which tokens and the final tokens that are asked about meet.
+HEAD = 4
+#: Nodes that may be broadcast: of 20 letters each on average, some tens of MB at most.
+WANTED = 200_000
 #: Rows of a source of one length, against the typical number at its lengths, that make the length a field limit.
 PILE, PILE_ROWS = 6.0, 5
 
@@ -45,9 +52,9 @@ BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0          
 
 
 def _marked(c: Column) -> Column:
-    """Text in lower case with tags as sentence ends, one mark per kind of break, and '#' for every numeral."""
+    """Text with tags as sentence ends, one mark per kind of break, and '#' for every numeral."""
     tagged = F.when(F.contains(c, F.lit("<")), F.regexp_replace(c, r"</?[A-Za-z]{1,20}>|<[/A-Za-z]{0,20}$", "\n")).otherwise(c)
-    return F.translate(F.lower(tagged), _STOPS + _COMMAS + _DIGITS, STOP * len(_STOPS) + COMMA * len(_COMMAS) + "#" * len(_DIGITS))
+    return F.translate(tagged, _STOPS + _COMMAS + _DIGITS, STOP * len(_STOPS) + COMMA * len(_COMMAS) + "#" * len(_DIGITS))
 
 
 def _bare(c: Column) -> Column:
@@ -56,38 +63,50 @@ def _bare(c: Column) -> Column:
     return F.when(F.contains(t, F.lit("##")), F.regexp_replace(t, "##+", "#")).otherwise(t)
 
 
-def vocabulary(corpus: DataFrame) -> DataFrame:
-    """(place, token, ends, goes_on): how often a token ends a sentence or is followed by a comma, over all texts.
+def tokens_of(corpus: DataFrame) -> DataFrame:
+    """(place, token, last, n): the tokens of all sentences and how often each sentence occurs.
 
     corpus: column `text`. place is 'f' for tokens that begin a sentence and 'm' for later ones, since a word that is a
-    whole answer may as well begin a longer sentence. Sentences, then tokens, are counted with map-side combine. The
+    whole answer may as well begin a longer sentence. Equal sentences are counted first, with map-side combine. The
     unfinished end of a text counts as nothing.
     """
-    marked = _marked(F.col("text"))
-    done = F.substring_index(marked, STOP, -1)  # what follows the last stop is no sentence
-    s = corpus.where("text is not null").select(F.explode(F.split(F.substring(marked, F.lit(1), F.length(marked) - F.length(done)), STOP)).alias("s"))
+    parts = once(corpus.where("text is not null").select("text"), _s=F.split(_marked(F.col("text")), STOP))
+    s = parts.select(F.explode(F.slice("_s", F.lit(1), F.size("_s") - 1)).alias("s"))  # what follows the last stop is no sentence
     s = s.where("s <> ''").groupBy("s").agg(F.count(F.lit(1)).alias("n"))
-    t = s.select("n", F.posexplode(F.split(F.rtrim("s", F.lit(COMMA + " ")), COMMA)).alias("_i", "_t"), F.size(F.split(F.rtrim("s", F.lit(COMMA + " ")), COMMA)).alias("_k"))
+    t = s.select("n", F.split(F.lower(F.rtrim("s", F.lit(COMMA + " "))), COMMA).alias("_a"))
+    t = t.select("n", F.posexplode("_a").alias("_i", "_t"), F.size("_a").alias("_k"))
     t = once(t, token=_bare(F.col("_t"))).where("token <> ''")
-    last = F.col("_i") + 1 == F.col("_k")
-    return (
-        t.groupBy(F.when(F.col("_i") == 0, "f").otherwise("m").alias("place"), "token")
-        .agg(F.sum(F.when(last, F.col("n")).otherwise(0)).alias("ends"), F.sum(F.when(last, 0).otherwise(F.col("n"))).alias("goes_on"))
-    )
+    return t.select(F.when(F.col("_i") == 0, "f").otherwise("m").alias("place"), "token", (F.col("_i") + 1 == F.col("_k")).alias("last"), "n")
 
 
-def trie(vocab: DataFrame) -> DataFrame:
-    """Nodes of the trie: (place, node, ends, goes_on, below) where below counts occurrences of longer tokens."""
-    nodes = vocab.select(
-        "place", F.length("token").alias("_l"), "token", "ends", "goes_on",
-        F.explode(F.sequence(F.lit(1), F.least(F.length("token"), F.lit(DEPTH)))).alias("_n"),
-    )
-    whole = F.col("_n") == F.col("_l")
-    return nodes.groupBy("place", F.substring("token", F.lit(1), F.col("_n")).alias("node")).agg(
-        F.sum(F.when(whole, F.col("ends")).otherwise(0)).alias("ends"),
-        F.sum(F.when(whole, F.col("goes_on")).otherwise(0)).alias("goes_on"),
-        F.sum(F.when(whole, 0).otherwise(F.col("ends") + F.col("goes_on"))).alias("below"),
+def trie(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(kind, node, ends, goes_on, below): the nodes of the trie that are asked for.
+
+    kind 'f' or 'm' are nodes by place: how often the node is a whole token that ends a sentence or one that goes on after
+    a comma, and how often longer tokens run through it. kind 't' are endings of tokens that end a sentence. wanted:
+    (kind, node), different rows. Tokens of any length are looked up whole, and only nodes as long as a wanted one with
+    the same first letters are made.
+    """
+    size, most = F.length("token"), F.least(F.length("token"), F.lit(HEAD))
+    heads = wanted.where("kind <> 't'").groupBy(F.col("kind").alias("_p"), F.substring("node", 1, HEAD).alias("_h")).agg(F.collect_set(F.length("node")).alias("_ls"))  # at most one element per length
+    t = tokens.select("*", F.explode(F.sequence(F.lit(1), most)).alias("_m"))
+    t = t.join(maybe_broadcast(heads), (F.col("place") == F.col("_p")) & (F.substring("token", F.lit(1), F.col("_m")) == F.col("_h")), "left")
+    # the ending, as length 0, goes with the longest head, so that each token gives it once
+    with_end = (F.col("_m") == most) & F.col("last")
+    none = F.array().cast("array<int>")
+    e = t.select("place", "token", "last", "n", F.explode(F.concat(F.coalesce("_ls", none), F.when(with_end, F.array(F.lit(0))).otherwise(none))).alias("_n")).where(F.col("_n") <= size)
+    whole, end = F.col("_n") == size, F.col("_n") == 0
+    e = once(
+        e,
+        kind=F.when(end, "t").otherwise(F.col("place")),
+        node=F.when(end, ending(F.col("token"))).otherwise(F.substring("token", F.lit(1), F.col("_n"))),
+        ends=F.when(end | (whole & F.col("last")), F.col("n")).otherwise(0),
+        goes_on=F.when(~end & whole & ~F.col("last"), F.col("n")).otherwise(0),
+        below=F.when(~end & ~whole, F.col("n")).otherwise(0),
     )
+    if fits(wanted, WANTED):  # spares the other nodes the shuffle; without it they are left alone by the join that follows
+        e = e.join(F.broadcast(wanted), ["kind", "node"], "left_semi")
+    return e.groupBy("kind", "node").agg(F.sum("ends").alias("ends"), F.sum("goes_on").alias("goes_on"), F.sum("below").alias("below"))
 
 
 def ending(c: Column) -> Column:
@@ -95,32 +114,52 @@ def ending(c: Column) -> Column:
     return F.when(c.rlike("[a-z]$"), F.substring(c, -8, 8)).otherwise(F.substring(c, -4, 4))
 
 
+def unclosed(c: Column) -> Column:
+    """Whether a bracket or quotation mark is still open at the end: a stack of the closing marks that are awaited."""
+    marks = F.split(F.regexp_replace(c, f"[^{re.escape(OPENING + CLOSING)}]", ""), "")
+    wait = F.translate(F.lit(OPENING), OPENING, CLOSING)
+
+    def step(stack: Column, x: Column) -> Column:
+        opens = F.instr(F.lit(OPENING), x)
+        return (
+            F.when((x != "") & (opens > 0), F.concat(stack, F.substring(wait, opens, F.lit(1))))
+            .when((x != "") & (F.substring(stack, -1, 1) == x), F.substring(stack, F.lit(1), F.length(stack) - 1))
+            .otherwise(stack)
+        )
+
+    return F.when(c.rlike(f"[{re.escape(OPENING)}]"), F.aggregate(marks, F.lit(""), step) != "").otherwise(False)
+
+
 def candidates(texts: DataFrame) -> DataFrame:
     """Texts without final punctuation: their final token, its place, and whether the end alone tells that they were cut."""
     t = texts.where("text is not null")
     t = once(t, _r=F.rtrim("text", F.lit(BLANKS + "*；;")), _n=F.length("text"))
     t = once(t, _z=F.substring("_r", -1, 1))
+    has = lambda c, *marks: F.coalesce(*[F.nullif(F.contains(c, F.lit(m)), F.lit(False)) for m in marks], F.lit(False))
     item = F.col("_r").rlike(r"\n[0-9]{1,3}[.、]$")
     ended = F.when(F.col("_z").isin(*[*CLOSERS]), F.col("_r").rlike(rf"[{STOPS}][{CLOSERS}]*$|[)）】]$|</[A-Za-z]{{1,20}}>$")).otherwise(F.col("_z").isin(*[*STOPS]) & ~((F.col("_z") == ".") & item))
     t = t.where((F.col("_z") != "") & ~ended)
     # from here on only unfinished texts
-    t = once(t, _m=_marked(F.rtrim(F.regexp_replace("_r", r"<[/A-Za-z]{0,20}$", ""), F.lit(BLANKS + "；;"))))
+    plain = F.when(has("_r", "<"), F.regexp_replace("_r", r"<[/A-Za-z]{0,20}$", "")).otherwise(F.col("_r"))
+    t = once(t, _m=F.lower(_marked(F.rtrim(plain, F.lit(BLANKS + "；;")))))
     body = F.regexp_replace("_r", rf"(?s)^(?:.*<answer>|[{SPACE}*]*(?:回答|答案|answer|Answer)\*+)", "")
-    t = once(t, _last=F.substring_index("_m", STOP, -1), _whole=F.btrim(_marked(body), F.lit(TRIM + STOP)))
-    t = once(t, _clause=F.substring_index("_last", COMMA, -1), _q=F.col("_r").rlike(rf"[?？][{SPACE}\"'”’]*[^?？{STOPS}\n]*$"))
+    whole = F.when(has("_r", "<", "*"), F.lower(_marked(body))).otherwise(F.col("_m"))
+    t = once(t, _last=F.substring_index("_m", STOP, -1), _whole=F.btrim(whole, F.lit(TRIM + STOP)))
+    asks = has("_r", "?", "？") & F.col("_r").rlike(rf"[?？][{SPACE}\"'”’]*[^?？{STOPS}\n]*$")
+    t = once(t, _clause=_bare(F.substring_index("_last", COMMA, -1)), _q=asks, _one=~has("_last", COMMA))
     return once(
-        t.where(~F.col("_whole").rlike(f"^(?:{STAND_INS})?$") | F.col("_r").endswith("�")),
-        token=_bare(F.col("_clause")),
-        place=F.when(F.contains("_last", F.lit(COMMA)), "m").otherwise("f"),
-        sure=F.col("_z").isin(*[*",，、:：", "�", "."]),
-        alone=~F.contains("_last", F.lit(COMMA)) & (F.col("_q") | (_bare(F.col("_whole")) == _bare(F.col("_clause")))),
+        t.where((F.length("_whole") > 24) | ~F.col("_whole").rlike(f"^(?:{STAND_INS})?$") | F.col("_r").endswith("�")),
+        token=F.col("_clause"),
+        place=F.when(F.col("_one"), "f").otherwise("m"),
+        sure=F.col("_z").isin(*[*",，、:：", "�", "."]) | unclosed(F.col("_r")),
+        alone=F.col("_one") & (F.col("_q") | (_bare(F.col("_whole")) == F.col("_clause"))),
         n_chars=F.col("_n"),
-    ).drop("_r", "_n", "_z", "_m", "_last", "_whole", "_clause", "_q", "text")
+    ).drop("_r", "_n", "_z", "_m", "_last", "_whole", "_clause", "_q", "_one", "text")
 
 
 def limits(unfinished: DataFrame) -> DataFrame:
     """(record_set, source, n_chars): lengths at which a source's unfinished texts pile up, against lengths up to 8 away."""
-    n = unfinished.where("n_chars >= 24").groupBy("record_set", "source", "n_chars").agg(F.count(F.lit(1)).alias("_n"))
+    n = unfinished.groupBy("record_set", "source", "n_chars").agg(F.count(F.lit(1)).alias("_n"))
     near = n.select("record_set", "source", F.explode(F.sequence(F.col("n_chars") - 8, F.col("n_chars") + 8)).alias("n_chars"), F.col("_n").alias("_m"), F.lit(0).alias("_n"))
     both = near.unionByName(n.withColumn("_m", F.lit(0))).groupBy("record_set", "source", "n_chars").agg(F.sum("_m").alias("_m"), F.sum("_n").alias("_n"))
     return both.where((F.col("_n") >= PILE_ROWS) & (F.col("_n") > PILE * F.greatest((F.col("_m") - F.col("_n")) / 16.0, F.lit(0.5)))).select("record_set", "source", "n_chars")
@@ -128,16 +167,18 @@ def limits(unfinished: DataFrame) -> DataFrame:
 
 def judged(texts: DataFrame, corpus: DataFrame) -> DataFrame:
     """Candidates with `cut`: whether each ends within a word, clause or sentence."""
-    c = cut(candidates(texts))
-    vocab = cut(vocabulary(corpus))
-    keys = once(c, _node=F.when(F.length("token") <= DEPTH, F.col("token")), _tail=ending(F.col("token")))
-    nodes = trie(vocab).select(F.col("place").alias("_pl"), F.col("node").alias("_nd"), "ends", "goes_on", "below")
-    tails = once(vocab.where("ends > 0"), _te=ending(F.col("token"))).groupBy("_te").agg(F.sum("ends").alias("tail_ends"))
-    pile = limits(c).select(F.col("record_set").alias("_rs"), F.col("source").alias("_s"), F.col("n_chars").alias("_c"), F.lit(True).alias("at_limit"))
-    j = keys.join(nodes, (F.col("place") == F.col("_pl")) & (F.col("_node") == F.col("_nd")), "left")
-    j = j.join(tails, F.col("_tail") == F.col("_te"), "left")
-    j = j.join(pile, (F.col("record_set") == F.col("_rs")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("n_chars") == F.col("_c")), "left")
+    c = once(cut(candidates(texts)), _tail=ending(F.col("token")))
+    open_ = c.where("not sure and token <> ''")
+    asked = open_.select(F.col("place").alias("kind"), F.col("token").alias("node")).unionAll(open_.select(F.lit("t"), "_tail")).distinct()
+    nodes = cut(trie(tokens_of(corpus), cut(asked)))
+    here = nodes.where("kind <> 't'").select(F.col("kind").alias("_pl"), F.col("node").alias("_nd"), "ends", "goes_on", "below")
+    tails = nodes.where("kind = 't'").select(F.col("node").alias("_te"), F.col("ends").alias("tail_ends"))
+    j = c.join(here, (F.col("place") == F.col("_pl")) & (F.col("token") == F.col("_nd")), "left")
+    j = cut(j.join(tails, F.col("_tail") == F.col("_te"), "left"))
     e, g, b, t = (F.coalesce(F.col(x), F.lit(0)) for x in ("ends", "goes_on", "below", "tail_ends"))
+    # a short text that is known as a whole sentence tells nothing of a limit
+    pile = limits(j.where(~(F.col("alone") & (e > 0)))).select(F.col("record_set").alias("_rs"), F.col("source").alias("_s"), F.col("n_chars").alias("_c"), F.lit(True).alias("at_limit"))
+    j = j.join(maybe_broadcast(pile), (F.col("record_set") == F.col("_rs")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("n_chars") == F.col("_c")), "left")
     at = F.coalesce(F.col("at_limit"), F.lit(False))
     known = e + g + b > 0
     complete = e >= F.when(at, 0.5).when(F.col("alone"), 0.0).otherwise(0.2) * (e + g + b)

@@ -1,4 +1,5 @@
 import random
+from itertools import product
 
 import pytest
 
@@ -70,8 +71,11 @@ def test_overlap(rows):
 BASE = ["画面左侧有少量云影，但不影响辨认。", "水渠的边缘与裸土相接。", "影像分辨率有限，细部只能看出模糊的轮廓。", "东侧。", "共3处水塔。"]
 
 
+LONG = "从影像上看成排的水渠与裸土之间还隔着一条宽约两个像元并且沿着图幅边缘一直延伸到西南角的便道" * 3
+
+
 def cut_ids(rows, extra):
-    data = [(i, BASE[i % 5] + BASE[(i + 2) % 5], "s") for i in range(60)] + [(100 + i, t, "s") for i, t in enumerate(extra)]
+    data = [(i, BASE[i % 5] + BASE[(i + 2) % 5] + LONG + "。", "s") for i in range(60)] + [(100 + i, t, "s") for i, t in enumerate(extra)]
     texts = rows([("sft", i, s, t) for i, t, s in data], "record_set string, row_id long, source string, text string")
     return sorted(r.row_id for r in T.truncated(texts, texts).collect())
 
@@ -79,9 +83,18 @@ def cut_ids(rows, extra):
 def test_truncation(rows):
     extra = [
         "水渠的边缘与裸土相接。画面左侧有少量云", "画面左侧有少量云影，", "水渠的边缘与裸土相接。影像分辨率有", "水渠的边缘与裸�", "水渠的边缘与裸土相接。\n2.",  # cut
-        "水渠的边缘与裸土相接", "<answer>画面左侧有少量云影，但不影响辨认", "东侧", "共8处水塔", None, "", "null", "水渠的边缘与裸土相接。</answer>", "水渠的边缘与裸土相接。（仅供参考）", "……", "<answer>东侧</answer>",
+        "水渠的边缘与裸土相接。（东侧", "「东侧", LONG[:-9],  # cut
+        "水渠的边缘与裸土相接", LONG, "<answer>画面左侧有少量云影，但不影响辨认", "东侧", "共8处水塔", None, "", "null", "水渠的边缘与裸土相接。</answer>", "水渠的边缘与裸土相接。（仅供参考）", "……", "<answer>东侧</answer>",
     ]
-    assert cut_ids(rows, extra) == [100, 101, 102, 103, 104]
+    assert cut_ids(rows, extra) == list(range(100, 108))
+
+
+def test_truncation_at_a_low_limit(rows):
+    """A source that cuts at 7 letters: what is a whole answer elsewhere goes on here."""
+    whole = ["水渠的边缘与裸土", "水渠的边缘与裸土相接，东侧有路。", "水渠的边缘与裸土相接，西侧有塔。"]
+    data = [("sft", i, "s", whole[i % 3] + "。") for i in range(30)] + [("sft", 100 + i, "s", "东侧。水渠的边") for i in range(9)]
+    texts = rows(data, "record_set string, row_id long, source string, text string")
+    assert sorted(r.row_id for r in T.truncated(texts, texts).collect()) == list(range(100, 109))
 
 
 def test_truncation_rates_and_empty(rows):
@@ -96,8 +109,30 @@ def test_suffix_automaton_against_brute_force():
     for _ in range(80):
         q, a = ("".join(rng.choice("abc") for _ in range(rng.randrange(1, 25))) for _ in range(2))
         want = [max((n for n in range(i + 2) if a[i + 1 - n : i + 1] in q), default=0) for i in range(len(a))]
-        assert D.SuffixAutomaton(q).feed(a) == want
-    assert D.copied("", "x") == (0.0, 0.0, 1) and D.copied("abc图中有路吗", "图中有路吗") == (1.0, 5 / 8, 0)
+        got = D.SuffixAutomaton(q).walk(a)
+        assert [n for n, _ in got] == want and all(q[e - n : e] == a[i + 1 - n : i + 1] for i, (n, e) in enumerate(got))
+    assert D.copied("", "x") == (0.0, 0.0, 0.0, 1) and D.copied("abc图中有路吗", "图中有路吗") == (1.0, 5 / 8, 5 / 8, 0)
+    assert D.copied("图中有路吗", "有路吗有路吗有路吗") == (1.0, 3 / 5, 3 / 5, 0)
+
+
+def test_every_declining_phrase_reaches_the_automaton():
+    net = D.Refusals()
+    for slots in (*D.REFUSING, *D.BEGINNING, *D.ALONE):
+        for phrase in map("".join, product(*(x.split("|") for x in slots))):
+            assert net.declines(phrase) and (any(x in phrase for x in D.STEMS) or sum(map(str.isascii, phrase)) > 2)
+    assert net.declines("无法确认。") and not net.declines("无法确认边界，但东侧有路") and not net.declines("抱歉" + "路" * 60 + "无法") and not net.declines("hawaii can't see it")
+    assert net.declines("sorry, this is outside of what i can do") and net.declines("非常抱歉，没有收到图片") and not net.declines("道路不能通行")
+
+
+def test_copies_in_any_form(rows):
+    zh, en = "图中东侧有没有圆形铁路？", "Is there a red pier in the image?"
+    wide = "".join(chr(ord(c) + 0xFEE0) if "!" <= c <= "~" else c for c in en)
+    copies = [("有路吗？", "有路吗？"), ("路？", "路"), (zh, zh * 3), (zh, zh + "答："), (zh, "问题：" + zh + "\n答案："), (en, wide), ("请看图，<image>\n" + zh, "Question: 请看图，<image>\n" + zh), (en, en.upper() + " Answer:"), (zh * 300, zh * 300), (zh, "图中东侧有没有圆形铁路" + "。" * 400)]
+    answers = [("有没有道路？", "有道路。"), ("画面左侧有没有一条道路？", "画面左侧有一条道路。"), (zh, "东侧有圆形铁路。"), (zh, "铁路"), (en, "A red pier."), ("Is the object in the left side a vehicle?", "It could be" + " the left" * 30 + "."), (zh, "有" * 2000 + "铁路")]
+    data = copies + answers
+    pairs = rows([("sft", i, q, a, "existence") for i, (q, a) in enumerate(data)], "record_set string, row_id long, question string, answer string, question_type string")
+    assert sorted((r.row_id, r.defect) for r in D.judged(pairs).collect()) == [(i, "copied_question") for i in range(len(copies))]
+    assert D.judged(pairs.where("row_id < 0")).count() == 0
 
 
 def test_defects(rows):
