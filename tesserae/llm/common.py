@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rows import cut, once
@@ -28,37 +28,18 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^[{SPACE}]+|[{SPACE}]+$", "")
 
 
-def ranked(df: DataFrame, group: Sequence[str], key: str, seed: int, buckets: int = 1024) -> DataFrame:
-    """df with rank_in_group (BIGINT from 1), the place of each row within its group in hash order of key.
+def spread(df: DataFrame, parts: int) -> DataFrame:
+    """df dealt out to `parts` partitions, or as it is for 0.
 
-    A group may hold any share of the rows: hash buckets are counted with map-side combine, only the counts (at most
-    `buckets` rows a group) are summed up along the group, and rows are ordered inside (group, bucket) alone.
+    Meant for costly work in Python on small tables in few files; the caller knows whether its table is one (see few_files).
     """
-    cols = list(group)
-    h = F.xxhash64(F.lit(seed), F.col(key))
-    at = df.withColumn("_h", h).withColumn("_b", F.shiftrightunsigned(F.col("_h"), 44) % buckets)
-    runs = Window.partitionBy(*cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        at.groupBy(*cols, "_b").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(runs), F.lit(0)))
-        .drop("_n")
-    )
-    both = at.join(before.select(*[F.col(c).alias(f"_r_{c}") for c in cols], F.col("_b").alias("_rb"), "_before"),
-                   [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols] + [F.col("_b") == F.col("_rb")])
-    inside = Window.partitionBy(*cols, "_b").orderBy("_h", key)
-    return both.withColumn("rank_in_group", F.col("_before") + F.row_number().over(inside)).drop("_h", "_b", "_rb", "_before", *[f"_r_{c}" for c in cols])
-
+    return df.repartition(parts) if parts > 0 else df
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan whose files give fewer partitions than there are cores, dealt out to all cores; other frames as they are.
 
-    Meant for costly work in Python on small tables in few files. Large tables have partitions enough and are not moved.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if any(x in plan for x in ("Join", "Aggregate", "Window", "Sort", "Repartition", "Generate", "Union")):
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def few_files(scan: DataFrame) -> int:
+    """The number of cores if a plain scan has fewer partitions than that, else 0."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return cores if scan.rdd.getNumPartitions() < cores else 0
 
 
 def fits(df: DataFrame, rows: int) -> bool:
@@ -71,6 +52,45 @@ def maybe_broadcast(df: DataFrame, rows: int = 20_000) -> DataFrame:
     return F.broadcast(df) if fits(df, rows) else df
 
 
+def sift(df: DataFrame, key: str, keys: DataFrame, bits: int = 24) -> DataFrame:
+    """df without most of the rows whose key is not among keys[key]: a filter of 2 ** bits bits (2 MB) is broadcast.
+
+    A row whose key is there always passes; it spares a join the shuffle of rows that would find nothing.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits)) + 1
+    marks = keys.groupBy(F.bitmap_bucket_number(place(F.col(key))).alias("_at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place(F.col(key)))).alias("_bits"))
+    at = df.withColumn("_x", place(F.col(key)))
+    byte = lambda pos: F.conv(F.hex(F.substring("_bits", (F.shiftright(pos, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    met = at.join(F.broadcast(marks), F.bitmap_bucket_number("_x") == F.col("_at"))
+    pos = F.bitmap_bit_position("_x")
+    return met.where(F.call_function("shiftright", byte(pos), F.pmod(pos, F.lit(8)).cast("int")).bitwiseAND(1) == 1).drop("_x", "_at", "_bits")
+
+
+#: A key is hot if it holds more than a HOT-th of all rows: there are fewer than HOT hot keys.
+HOT = 1000
+
+
+def look_up(rows: DataFrame, key: str, table: DataFrame) -> DataFrame:
+    """rows left-joined to a table with one row per key.
+
+    Hot keys meet their rows by a broadcast of fewer than HOT rows, so that no task gathers a key; the others are shuffled.
+    Rows with a null key find nothing and stay where they are.
+    """
+    right = table.withColumnRenamed(key, "_key")
+    n = cut(rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).withColumn("_hot", F.lit(True)))
+    total = n.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    hot = n.where(F.col("_n") * HOT > total).select(F.col(key).alias("_hk"), "_hot")
+    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left").drop("_hk")
+    some = F.broadcast(right.join(F.broadcast(hot), F.col("_key") == F.col("_hk"), "left_semi"))
+    of_hot = marked.where("_hot").join(some, F.col(key) == F.col("_key"), "left")
+    others = marked.where(F.col("_hot").isNull() & F.col(key).isNotNull()).join(right, F.col(key) == F.col("_key"), "left")
+    null = rows.where(F.col(key).isNull())
+    for f in table.schema.fields:
+        if f.name != key:
+            null = null.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return of_hot.drop("_hot", "_key").unionByName(others.drop("_hot", "_key")).unionByName(null)
+
+
 #: Folders under which the same picture collection is mounted.
 ROOTS = ("srv/rsvqa/dataset", "data/train/rs_images", "d:/rs/dataset")
 

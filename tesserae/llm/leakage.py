@@ -1,33 +1,42 @@
 """Problem 8: evaluation texts leaking into training text.
 
-Method: template canonicalisation. Passages and documents become runs of letters in which numbers, the names that the
-passages speak of, and units are typed placeholders; windows of the templates are hashed and joined; where enough
-windows of an item meet in a document, the slots are checked (the same numbers and names in the same template places)
-so that sentences merely built alike do not count, and the passage's own letters are aligned with the document's. A
-document that holds only a part of a passage cannot have the slots of the rest: verbatim parts count by their letters.
-
-Evaluation items are the query set: they are broadcast in blocks of at most `ITEMS_AT_ONCE` items, each block against all
-documents, whatever their number. Documents are read whole and only once per block; nothing is shuffled but the pairs.
-
-Defined results: null and empty passages and texts meet nothing; a passage whose template has
-no window is judged by its own letters, and one of fewer than six letters must stand whole, as words of its own; equal
-documents are reported each; windows over several sentences are bridged where a document reorders or breaks them.
+Method: template canonicalisation. Passages and documents become runs of letters in which numbers and units are typed
+placeholders; the names that a passage speaks of are its own slots, and no window runs over them. Windows of the templates are hash-joined:
+
+1. passages that read alike become one class; a table holds the hashed windows of every class,
+2. one scan of the documents keeps the windows that pass a filter of at most 2 ** FILTER_BITS bits,
+3. these are joined with the table and counted by (document, class); pairs with enough windows in common are candidates,
+4. the documents of candidates are read again, and the slots are checked (the same numbers and names in the same places)
+   along with an alignment of the passage's own letters, so that sentences merely built alike do not count. A document
+   that holds only a part of a passage cannot have the slots of the rest: verbatim parts count by their letters.
+
+Neither items nor documents are collected, and the documents are scanned twice whatever their number. A window that more than
+OWNERS classes share is left out of the join for a class as far as its other windows suffice: who has t of n windows has
+t - d of those that remain without d of them, and at least one of the n - t + 1 rarest.
+
+Defined results: null and empty passages and texts meet nothing; a passage whose template has no window is found by
+windows of its own letters, and one of fewer than six letters must stand whole, as words of its own; equal documents are
+reported each, a repeated row once; windows over several sentences are bridged where a document reorders or breaks them.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import spread
+from .common import cut, maybe_broadcast, sift, spread
 
-ITEMS_AT_ONCE, WINDOW, OWN, SHARE = 20_000, 6, 6, 0.5
+WINDOW, OWN, SHARE = 8, 6, 0.5
+#: Share of a passage's template windows that a candidate has; more of them than classes share stay out of the join if they can.
+NEED, OWNERS, FILTER_BITS = 0.28, 1000, 27
 #: Share of an item's slots that must agree: in Han script six letters are a phrase, in Latin script hardly a word.
 SLOTS_HAN, SLOTS_LATIN = 0.3, 0.5
 #: Share of a passage that a verbatim stretch with a slot of its own must have to count as a part of it.
@@ -39,8 +48,7 @@ NUM, NAME, UNIT = "", "", ""
 PLAIN = frozenset("the a an on at in near after within every night batch some no this that from over along between it its is are was were and of to for by with only".split())
 #: Endings of Chinese place names.
 PLACES = "镇|岛|港|农场|河湾|山口|台地|支线|机房|图幅"
-_BREAK = re.compile(r"[^\w]+|_", re.UNICODE)
-_PRIME = np.uint64(1_099_511_628_211)
+_BREAK, _RUN = re.compile(r"[\W_]+"), re.compile(r"[^\W_]+")
 
 
 def fold(text: str) -> str:
@@ -59,8 +67,9 @@ def names_of(passage: str) -> set[str]:
 
 
 def stream(text: str) -> str:
-    """Letters and digits only; the windows run across breaks, marks and line ends."""
-    return _BREAK.sub("", fold(text))
+    """Letters and digits only, folded; the windows run across breaks, marks and line ends."""
+    run = "".join(_RUN.findall(text))
+    return (run if unicodedata.is_normalized("NFKC", run) else _BREAK.sub("", unicodedata.normalize("NFKC", run))).lower()
 
 
 def names_pattern(names: set[str]) -> re.Pattern | None:
@@ -72,26 +81,30 @@ def names_pattern(names: set[str]) -> re.Pattern | None:
 
 
 _NUMBER = re.compile(r"\d+")
-_MEASURE = re.compile(rf"\d+{UNITS}")
+_MEASURE = re.compile(rf"\d+({UNITS})?")
 
 
 def template(letters: str, names: re.Pattern | None) -> str:
     """A letter run with typed placeholders for names, for numbers with units, and for other numbers."""
-    t = names.sub(NAME, letters) if names else letters
-    return _NUMBER.sub(NUM, _MEASURE.sub(NUM + UNIT, t))
+    return _MEASURE.sub(lambda m: NUM + UNIT if m[1] else NUM, names.sub(NAME, letters) if names else letters)
 
 
 def windows(s: str, k: int) -> np.ndarray:
-    """Hashes of all windows of k letters."""
-    if len(s) < k:
+    """Hashes of all windows of k letters: polynomials of windows of 1, 2, 4... letters, put together and mixed."""
+    n = len(s) - k + 1
+    if n < 1:
         return np.zeros(0, np.uint64)
-    c = np.frombuffer(s.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    n = len(c) - k + 1
-    h = np.full(n, 14_695_981_039_346_656_037, np.uint64)
-    for i in range(k):
-        h = (h ^ c[i : i + n]) * _PRIME
-        h ^= h >> np.uint64(29)
-    return h
+    part = np.frombuffer(s.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    h, done, size, base = None, 0, 1, 0x9E3779B97F4A7C15
+    while done < k:
+        if k & size:
+            piece = part[done : done + n]
+            h, done = (piece if h is None else h * np.uint64(base) + piece), done + size
+        if done < k:
+            part = part[:-size] * np.uint64(base) + part[size:]
+            base, size = base * base & 0xFFFFFFFFFFFFFFFF, size * 2
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
 
 
 def whole_pattern(letters: str) -> re.Pattern:
@@ -100,80 +113,49 @@ def whole_pattern(letters: str) -> re.Pattern:
     return re.compile(before + r"[\W_]*".join(map(re.escape, letters)) + after)
 
 
-class Items:
-    """Index of a block of items: sorted template windows with the items that hold them, and own-letter windows."""
-
-    def __init__(self, ids: list[int], passages: list[str]) -> None:
-        self.ids, self.runs = ids, [stream(p) for p in passages]
-        self.names = names_pattern({n for p in passages for n in names_of(p)})
-        hashes, owner, self.need = [], [], []
-        self.slots: list[list[tuple[int, int]]] = []
-        self.own = [windows(r, OWN) for r in self.runs]
-        self.latin = [2 * sum(c.isascii() for c in r) > len(r) for r in self.runs]
-        for i, r in enumerate(self.runs):
-            h = np.unique(windows(template(r, self.names), WINDOW))
-            hashes.append(h)
-            owner.append(np.full(len(h), i))
-            self.need.append(len(h))
-            self.slots.append([m.span() for pat in (self.names, _NUMBER) if pat for m in pat.finditer(r)])
-        h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        o = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-        order = np.argsort(h, kind="stable")
-        self.h, self.o = h[order], o[order].astype(np.int64)
-        self.mask = np.uint64((1 << max(16, (8 * len(h)).bit_length())) - 1)
-        self.may = np.zeros(int(self.mask) + 1, bool)  # a filter of one hash; it lets no window of an item slip
-        self.may[self.h & self.mask] = True
-        self.few = [i for i, r in enumerate(self.runs) if r and not self.need[i]]  # no window leads to these
-        self.whole = {i: whole_pattern(self.runs[i]) for i in self.few if not len(self.own[i])}
-
-    def meet(self, text: str) -> list[int]:
-        """Positions of the items that the document holds at least half of, in their own words."""
-        run = stream(text)
-        few = [i for i in self.few if (self.whole[i].search(fold(text)) if i in self.whole else len(run) >= OWN and self.holds(i, run, np.unique(windows(run, OWN))))]
-        return few + self.meet_windows(run)
-
-    def meet_windows(self, run: str) -> list[int]:
-        """The same for the items that have template windows."""
-        if len(run) < OWN or not len(self.h):
-            return []
-        d = windows(template(run, self.names), WINDOW)
-        d = np.unique(d[self.may[d & self.mask]])  # most windows of most documents end here
-        lo, hi = np.searchsorted(self.h, d, "left"), np.searchsorted(self.h, d, "right")
-        hit = hi > lo
-        if not hit.any():
-            return []
-        lo, hi = lo[hit], hi[hit]
-        n = hi - lo
-        flat = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        count = np.bincount(self.o[flat], minlength=len(self.ids))
-        able = np.flatnonzero(count * 1.0 >= np.maximum(1, np.array(self.need) * 0.35))
-        if not len(able):
-            return []
-        own = np.unique(windows(run, OWN))
-        return [int(i) for i in able if self.holds(int(i), run, own)]
-
-    def holds(self, i: int, run: str, own: np.ndarray) -> bool:
+class Passage:
+    """A passage as its letters, its template windows, its own-letter windows and its slots."""
+
+    def __init__(self, text: str) -> None:
+        self.run = stream(text)
+        self.names = sorted(names_of(text))
+        pattern = names_pattern(set(self.names))
+        self.slots = [m.span() for pat in (pattern, _NUMBER) if pat for m in pat.finditer(self.run)]
+        self.own = windows(self.run, OWN)
+        self.latin = 2 * sum(c.isascii() for c in self.run) > len(self.run)
+        parts = [windows(x, WINDOW) for x in template(self.run, pattern).split(NAME)]
+        self.windows = np.unique(np.concatenate(parts))
+        #: Letters of the windows by which the passage is looked up: 0 for those of its template.
+        self.kind = 0 if len(self.windows) else min(OWN, len(self.run))
+        if self.kind:
+            self.windows = np.unique(windows(self.run, self.kind)) ^ np.uint64(self.kind)
+        self.whole = whole_pattern(self.run) if 0 < len(self.run) < OWN else None
+
+    def held_by(self, text: str, run: str, own: np.ndarray) -> bool:
         """Whether half of the passage's letters lie in windows that the document has, slots included."""
-        h, size = self.own[i], len(self.runs[i])
-        at = np.flatnonzero(own[np.minimum(np.searchsorted(own, h), len(own) - 1)] == h)
+        if self.whole:
+            return bool(self.whole.search(fold(text)))
+        if not len(self.own) or not len(own):
+            return False
+        size = len(self.run)
+        at = np.flatnonzero(own[np.minimum(np.searchsorted(own, self.own), len(own) - 1)] == self.own)
         mark = np.zeros(size + 1, np.int64)
         np.add.at(mark, at, 1)
         np.add.at(mark, at + OWN, -1)
         covered = np.cumsum(mark[:size]) > 0
         if covered.mean() < SHARE:
             return False
-        slots = self.slots[i]
-        if not slots:
+        if not self.slots:
             return True
         # a slot is the same if it and the letters beside it are covered: its number or name stands in its own template place
-        same = [bool(covered[max(0, a - 1) : b + 1].all()) for a, b in slots]
-        if sum(same) >= (SLOTS_LATIN if self.latin[i] else SLOTS_HAN) * len(same):
+        same = [bool(covered[max(0, a - 1) : b + 1].all()) for a, b in self.slots]
+        if sum(same) >= (SLOTS_LATIN if self.latin else SLOTS_HAN) * len(same):
             return True
-        return self.parts(i, run, at) >= SHARE * size
+        return self.parts(run, at) >= SHARE * size
 
-    def parts(self, i: int, run: str, at: np.ndarray) -> int:
+    def parts(self, run: str, at: np.ndarray) -> int:
         """Letters of the passage in verbatim parts: stretches of at least PART that stand unbroken in the document, with a slot."""
-        r, found = self.runs[i], np.zeros(len(self.runs[i]), bool)
+        r, found = self.run, np.zeros(len(self.run), bool)
         # windows side by side may come from several places of the document, so the longest of these runs are searched for as they are
         spans = [(int(g[0]), int(g[-1]) + OWN) for g in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1)]
         spans = [(a, b) for a, b in spans if b - a >= PART * len(r)]
@@ -183,37 +165,100 @@ class Items:
                 before, end = end, max(end, start)
                 while end < b and r[start : end + 1] in run:
                     end += 1
-                if end > before and end - start >= PART * len(r) and any(start <= max(0, x - 1) and min(len(r), y + 1) <= end for x, y in self.slots[i]):
+                if end > before and end - start >= PART * len(r) and any(start <= max(0, x - 1) and min(len(r), y + 1) <= end for x, y in self.slots):
                     found[start:end] = True
         return int(found.sum())
 
 
-def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", passage_col: str = "passage") -> DataFrame:
+def classes(items: DataFrame) -> DataFrame:
+    """(item_id, passage, class): class is the least item whose passage has the same letters and names."""
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            runs = [(stream(t), sorted(names_of(t))) for t in pdf["passage"]]
+            pdf["key"] = [hashlib.md5("\n".join([r, *n]).encode()).hexdigest() if r else None for r, n in runs]
+            yield pdf.dropna(subset=["key"])
+
+    keyed = cut(items.mapInPandas(keys, "item_id bigint, passage string, key string"))
+    least = keyed.groupBy("key").agg(F.min("item_id").alias("class"))
+    return cut(keyed.join(least, "key").select("item_id", "passage", "class"))
+
+
+def table(passages: DataFrame) -> DataFrame:
+    """(class, kind, h, need): the windows by which classes are looked up, and how many of them a candidate has."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            made = [Passage(t) for t in pdf["passage"]]
+            n = [len(p.windows) for p in made]
+            hashes = np.concatenate([p.windows for p in made]) if made else np.zeros(0, np.uint64)
+            yield pd.DataFrame({"class": np.repeat(pdf["class"].to_numpy(np.int64), n), "kind": np.repeat([p.kind for p in made], n), "h": hashes.view(np.int64), "n": np.repeat(n, n)})
+
+    w = cut(passages.mapInPandas(run, "class bigint, kind int, h bigint, n bigint"))
+    owners = w.groupBy("h").agg(F.count(F.lit(1)).alias("owners"))
+    least = F.greatest(F.lit(1), F.ceil(F.col("n") * NEED))
+    one = Window.partitionBy("class")  # as many rows as a passage has letters
+    w = w.join(owners, "h").withColumn("place", F.row_number().over(one.orderBy("owners", "h")))
+    w = w.where((F.col("owners") <= OWNERS) | (F.col("place") <= F.col("n") - least + 1))
+    kept = F.count(F.lit(1)).over(one)
+    return cut(w.select("class", "kind", "h", F.greatest(F.lit(1), least - (F.col("n") - kept)).cast("bigint").alias("need")))
+
+
+def bits_of(w: DataFrame) -> tuple[np.ndarray, int]:
+    """A filter of one hash over the table's windows, as bytes, and the number of its address bits: FILTER_BITS at most."""
+    size = min(FILTER_BITS, max(16, (16 * w.count()).bit_length()))
+    x = F.col("h").bitwiseAND((1 << size) - 1) + 1
+    rows = w.groupBy(F.bitmap_bucket_number(x).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(x)).alias("bits")).collect()
+    out = np.zeros(1 << (size - 3), np.uint8)
+    for b, bits in rows:
+        out[(b - 1) * 4096 : b * 4096] = np.frombuffer(bytes(bits), np.uint8)
+    return out, size
+
+
+def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", passage_col: str = "passage", parts: int = 0) -> DataFrame:
     """(item_id, doc_id) for every document that holds at least half of an item's passage."""
     sc = docs.sparkSession.sparkContext
-    slim = spread(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).where("_text is not null"))
-    out, after = None, None
-    base = items.select(F.col(item_col).alias("item_id"), F.col(passage_col).alias("passage")).where("passage is not null and passage <> ''")
-    while True:
-        block = (base if after is None else base.where(F.col("item_id") > after)).orderBy("item_id").limit(ITEMS_AT_ONCE).collect()
-        if block or out is None:
-            shared = sc.broadcast(([r[0] for r in block], [r[1] for r in block]))
-
-            def run(parts: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-                index = Items(*shared.value)
-                for pdf in parts:
-                    a, b = [], []
-                    for doc, text in zip(pdf["doc_id"], pdf["_text"]):
-                        for i in index.meet(text):
-                            a.append(index.ids[i])
-                            b.append(doc)
-                    yield pd.DataFrame({"item_id": pd.Series(a, dtype="int64"), "doc_id": pd.Series(b, dtype="int64")})
-
-            part = slim.mapInPandas(run, "item_id bigint, doc_id bigint")
-            out = part if out is None else out.unionByName(part)
-        if len(block) < ITEMS_AT_ONCE:
-            return out
-        after = block[-1][0]
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).where("_text is not null and doc_id is not null")
+    of = classes(items.select(F.col(item_col).alias("item_id"), F.col(passage_col).alias("passage")).where("item_id is not null and passage is not null and passage <> ''"))
+    passages = of.where("item_id = class").select("class", "passage")
+    w = table(passages)
+    facts = w.agg(F.coalesce(F.min("need"), F.lit(1)), F.collect_set("kind")).first()  # kinds are OWN + 1 at most
+    shared = sc.broadcast((*bits_of(w), int(facts[0]), sorted(facts[1])))
+
+    def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits, size, least, kinds = shared.value
+        mask = np.uint64((1 << size) - 1)
+        for pdf in batches:
+            ids, found = [], []
+            for doc, text in zip(pdf["doc_id"], pdf["_text"]):
+                run = stream(text)
+                made = [windows(run, k) ^ np.uint64(k) if k else windows(template(run, None), WINDOW) for k in kinds]
+                h = np.concatenate(made) if made else np.zeros(0, np.uint64)
+                x = h & mask
+                h = np.unique(h[(bits[(x >> np.uint64(3)).astype(np.int64)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 == 1])
+                if len(h) >= least:
+                    ids.append(np.full(len(h), doc, np.int64))
+                    found.append(h.view(np.int64))
+            yield pd.DataFrame({"doc_id": np.concatenate(ids) if ids else np.zeros(0, np.int64), "h": np.concatenate(found) if found else np.zeros(0, np.int64)})
+
+    met = spread(slim, parts).mapInPandas(hits, "doc_id bigint, h bigint").join(maybe_broadcast(w.select("class", "h", "need"), 500_000), "h")
+    likely = cut(met.groupBy("doc_id", "class", "need").agg(F.count(F.lit(1)).alias("n")).where("n >= need").select("doc_id", "class"))
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        passage = lru_cache(4096)(Passage)
+        last = None
+        for pdf in batches:
+            keep = []
+            for doc, text, p in zip(pdf["doc_id"], pdf["_text"], pdf["passage"]):
+                if last is None or last[0] != doc or last[1] != text:
+                    run = stream(text)
+                    last = doc, text, run, np.unique(windows(run, OWN))
+                keep.append(passage(p).held_by(text, last[2], last[3]))
+            yield pdf.loc[keep, ["class", "doc_id"]]
+
+    both = sift(slim, "doc_id", likely).join(likely.join(passages, "class"), "doc_id").select("class", "doc_id", "_text", "passage")
+    sure = both.sortWithinPartitions("doc_id").mapInPandas(check, "class bigint, doc_id bigint").distinct()
+    return sure.join(of.select("item_id", "class"), "class").select("item_id", "doc_id")
 
 
 def report(found: DataFrame) -> DataFrame:

@@ -31,10 +31,10 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 BLOCK, FULL, NODES, BRANCH, LIMITS, PIECES, TRIES = 3000, 0.995, 4000, 4, 100, 400, 48
 
 
-def token_counts(docs: DataFrame, id_col: str, text_col: str, tokenizer: str = TOKENIZER) -> DataFrame:
+def token_counts(docs: DataFrame, id_col: str, text_col: str, tokenizer: str = TOKENIZER, parts: int = 0) -> DataFrame:
     """(id, tokens) by a public tokenizer whose file lies at the same path on every executor; whole texts."""
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import base64
 
         import tiktoken
@@ -42,11 +42,11 @@ def token_counts(docs: DataFrame, id_col: str, text_col: str, tokenizer: str = T
         with open(tokenizer, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        for pdf in parts:
+        for pdf in batches:
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in pdf[text_col]]
             yield pd.DataFrame({id_col: pdf[id_col], "tokens": n})
 
-    return spread(docs.select(id_col, text_col)).mapInPandas(run, f"`{id_col}` bigint, tokens bigint")
+    return spread(docs.select(id_col, text_col), parts).mapInPandas(run, f"`{id_col}` bigint, tokens bigint")
 
 
 def fillings(sizes: list[int], room: int) -> list[tuple[int, ...]]:
@@ -285,9 +285,9 @@ def _round(pieces: DataFrame, n: int) -> DataFrame:
     return at.repartition(tasks, "limit_id", "block").groupBy("limit_id", "block").applyInPandas(_solve, _OUT)
 
 
-def fill(docs: DataFrame, limits: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
+def fill(docs: DataFrame, limits: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, parts: int = 0) -> DataFrame:
     """(limit_id, container, doc_id, piece, tokens, unused): the container of every document or piece."""
-    counts = cut(token_counts(docs, id_col, text_col, tokenizer).withColumnRenamed(id_col, "doc_id"))
+    counts = cut(token_counts(docs, id_col, text_col, tokenizer, parts).withColumnRenamed(id_col, "doc_id"))
     lim = [tuple(r) for r in limits.where("capacity_tokens >= 1 and limit_id is not null").select("limit_id", "capacity_tokens").distinct().orderBy("limit_id", "capacity_tokens").limit(LIMITS + 1).collect()]
     if len(lim) > LIMITS:
         raise ValueError(f"more than {LIMITS} container sizes")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import defects, leakage, overlap, packing, proportions, repetition, spam, splits, truncation
-from .common import table
+from .common import few_files, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,7 +17,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_quotas(spark: SparkSession, d: str) -> DataFrame:
-    return proportions.quotas(table(spark, d, "sft"), table(spark, d, "sampling_targets")).select("plan_id", "question_type", "observed_rows", "quota", "short_rows")
+    return proportions.quotas(table(spark, d, "sft"), table(spark, d, "sampling_targets")).select("plan_id", "question_type", "observed_rows", "need_rows", "quota", "missing_rows", "short_rows")
 
 
 def p1_sample(spark: SparkSession, d: str) -> DataFrame:
@@ -33,6 +33,10 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return splits.related_pairs(table(spark, d, "sft"), table(spark, d, "val"), table(spark, d, "manifest"))
 
 
+def p3_scenes(spark: SparkSession, d: str) -> DataFrame:
+    return splits.scenes(table(spark, d, "sft"), table(spark, d, "val"), table(spark, d, "manifest"))
+
+
 def p3_split(spark: SparkSession, d: str) -> DataFrame:
     return splits.assign(table(spark, d, "sft"), table(spark, d, "val"), table(spark, d, "manifest"), table(spark, d, "split_targets"))
 
@@ -56,19 +60,19 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return repetition.found(table(spark, d, "sft"), "sft_id", "answer").select("sft_id")
+    return repetition.found(table(spark, d, "sft"), "sft_id", "answer", parts=few_files(table(spark, d, "sft"))).select("sft_id")
 
 
 def p6_share(spark: SparkSession, d: str) -> DataFrame:
-    return repetition.measure(table(spark, d, "sft"), "sft_id", "answer")
+    return repetition.measure(table(spark, d, "sft"), "sft_id", "answer", parts=few_files(table(spark, d, "sft")))
 
 
 def p7_pack(spark: SparkSession, d: str) -> DataFrame:
-    return packing.fill(table(spark, d, "documents"), table(spark, d, "pack_limits"))
+    return packing.fill(table(spark, d, "documents"), table(spark, d, "pack_limits"), parts=few_files(table(spark, d, "documents")))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), parts=few_files(table(spark, d, "documents")))
 
 
 def p8_report(spark: SparkSession, d: str) -> DataFrame:
@@ -76,17 +80,17 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return spam.found(table(spark, d, "documents"))
+    return spam.found(table(spark, d, "documents"), few_files(table(spark, d, "documents")))
 
 
 def p9_hosts(spark: SparkSession, d: str) -> DataFrame:
-    return spam.by_host(table(spark, d, "documents"))
+    return spam.by_host(table(spark, d, "documents"), few_files(table(spark, d, "documents")))
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        p1_found, p1_quotas, p1_sample, p2_found, p3_found, p3_split, p4_found, p4_rates, p5_found, p5_report, p6_found, p6_share,
+        p1_found, p1_quotas, p1_sample, p2_found, p3_found, p3_scenes, p3_split, p4_found, p4_rates, p5_found, p5_report, p6_found, p6_share,
         p7_pack, p8_found, p8_report, p9_found, p9_hosts,
     )
 }

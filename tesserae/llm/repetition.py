@@ -117,12 +117,12 @@ def repeats(texts: list[str], least: int = LEAST) -> tuple[np.ndarray, np.ndarra
     return share, longest
 
 
-def measure(rows: DataFrame, id_col: str, text_col: str, least: int = LEAST) -> DataFrame:
+def measure(rows: DataFrame, id_col: str, text_col: str, least: int = LEAST, parts: int = 0) -> DataFrame:
     """(id, letters, repeated_share, longest_repeat) for every row; one narrow pass, no shuffle."""
     batch_letters = 2_000_000
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
             texts = pdf["_t"].fillna("").tolist()
             share, longest = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
             i = 0
@@ -136,8 +136,8 @@ def measure(rows: DataFrame, id_col: str, text_col: str, least: int = LEAST) ->
             yield pd.DataFrame({id_col: pdf[id_col], "letters": [len(t) for t in texts], "repeated_share": share, "longest_repeat": longest})
 
     slim = rows.select(F.col(id_col), letters(F.col(text_col)).alias("_t"))
-    return spread(slim).mapInPandas(run, f"`{id_col}` bigint, letters bigint, repeated_share double, longest_repeat bigint")
+    return spread(slim, parts).mapInPandas(run, f"`{id_col}` bigint, letters bigint, repeated_share double, longest_repeat bigint")
 
 
-def found(rows: DataFrame, id_col: str, text_col: str, share: float = SHARE) -> DataFrame:
-    return measure(rows, id_col, text_col).where(F.col("repeated_share") >= share)
+def found(rows: DataFrame, id_col: str, text_col: str, share: float = SHARE, parts: int = 0) -> DataFrame:
+    return measure(rows, id_col, text_col, parts=parts).where(F.col("repeated_share") >= share)

@@ -95,16 +95,16 @@ def keywords(words: list[str], n_latin: int) -> float:
     return out
 
 
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", parts: int = 0) -> DataFrame:
     """(id, host, features...) of every page with text."""
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
             f = np.array([features(t) for t in pdf["_text"]], np.float64).reshape(len(pdf), len(FEATURES))
             yield pd.concat([pdf[["doc_id", "host"]].reset_index(drop=True), pd.DataFrame(f, columns=list(FEATURES))], axis=1)
 
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("_text")).where("_text is not null")
-    return spread(slim).mapInPandas(run, "doc_id bigint, host string, " + ", ".join(f"{f} double" for f in FEATURES))
+    return spread(slim, parts).mapInPandas(run, "doc_id bigint, host string, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
 def weak_label() -> Column:
@@ -175,9 +175,9 @@ def train(pages: DataFrame) -> list[tuple]:
     return bag(rows[list(FEATURES)].to_numpy(), rows["y"].to_numpy())
 
 
-def scored(docs: DataFrame) -> DataFrame:
+def scored(docs: DataFrame, parts: int = 0) -> DataFrame:
     """(doc_id, host, page_score, host_rate, score) of every page with text."""
-    pages = cut(measured(docs))
+    pages = cut(measured(docs, parts=parts))
     trees = train(pages)
     page = sum((as_column(t) for t in trees), F.lit(0.0)) / max(1, len(trees)) if trees else F.coalesce(weak_label(), F.lit(0.0))
     page = F.when(F.col("n_units") < 15, F.lit(0.0)).otherwise(page)
@@ -191,11 +191,11 @@ def scored(docs: DataFrame) -> DataFrame:
     return j.select("doc_id", "host", "page_score", "host_rate", ((1 - SMOOTH) * F.col("page_score") + SMOOTH * F.coalesce("host_rate", "page_score")).alias("score"))
 
 
-def found(docs: DataFrame) -> DataFrame:
-    return scored(docs).where(F.col("score") >= THRESHOLD).select("doc_id")
+def found(docs: DataFrame, parts: int = 0) -> DataFrame:
+    return scored(docs, parts).where(F.col("score") >= THRESHOLD).select("doc_id")
 
 
-def by_host(docs: DataFrame) -> DataFrame:
+def by_host(docs: DataFrame, parts: int = 0) -> DataFrame:
     """Per host: pages, spam pages and the smoothed rate."""
-    s = scored(docs)
+    s = scored(docs, parts)
     return s.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("score") >= THRESHOLD).alias("spam_pages"), F.round(F.max("host_rate"), 6).alias("host_rate"))

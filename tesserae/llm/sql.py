@@ -3,13 +3,27 @@
 #: White space of any width at either end, case and the difference of '-' and '_' do not count.
 _TYPE = r"replace(lower(regexp_replace({c}, '^[\s\x{{0B}}\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200F}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{2060}}\x{{3000}}\x{{FEFF}}]+|[\s\x{{0B}}\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200F}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{2060}}\x{{3000}}\x{{FEFF}}]+$', '', 'g')), '-', '_')"
 
+#: Need, observed rows and bounds of every target.
+_TARGETS = f"""s as (select sft_id, {_TYPE.format(c='question_type')} as k, source_dataset as d from sft),
+        t as (select *, {_TYPE.format(c='question_type')} as k from sampling_targets),
+        o as (select t.plan_id, t.source_dataset as d, t.question_type, t.k, t.target_share as share, t.min_rows, t.sample_rows, count(s.k) as observed_rows,
+            cast(greatest(t.min_rows, floor(t.target_share * t.sample_rows + 0.5 + 1e-9)) as bigint) as need_rows
+            from t left join s on s.k = t.k and (t.source_dataset is null or t.source_dataset = s.d) group by all)"""
+#: Quotas: the level at which the shares, held between the minima and the rows there are, add up to the sample.
+_QUOTAS = f"""{_TARGETS},
+        b as (select *, least(min_rows, observed_rows)::double as low, greatest(least(min_rows, observed_rows), case when share > 0 then observed_rows else 0 end)::double as high, max(sample_rows) over (partition by plan_id) as n from o),
+        p as (select plan_id, 0.0::double as x from b union select plan_id, low / share from b where share > 0 union select plan_id, high / share from b where share > 0),
+        c as (select p.plan_id, x, any_value(n) as n, sum(least(greatest(x * share, low), high)) as total from p join b using (plan_id) group by 1, 2),
+        e as (select *, lead(x) over w as x1, lead(total) over w as total1 from c window w as (partition by plan_id order by x)),
+        v as (select plan_id, x + coalesce((n - total) * (x1 - x) / (total1 - total), 0) as x from e where total <= n + 1e-9 qualify row_number() over (partition by plan_id order by x desc) = 1),
+        y as (select b.*, case when v.x is null then low * n / sum(low) over (partition by b.plan_id) else least(greatest(v.x * share, low), high) end as y from b left join v using (plan_id)),
+        z as (select *, floor(y + 1e-9) as f, row_number() over (partition by plan_id order by round(y - floor(y + 1e-9), 6) desc, k) as place,
+            floor(sum(y) over (partition by plan_id) + 0.5) - sum(floor(y + 1e-9)) over (partition by plan_id) as spare from y),
+        q as (select *, cast(f + case when place <= spare then 1 else 0 end as bigint) as quota from z)"""
+
 SQL: dict[str, str] = {
-    "p1_found": f"""
-        with s as (select {_TYPE.format(c='question_type')} as k, source_dataset as d from sft),
-        t as (select *, {_TYPE.format(c='question_type')} as k from sampling_targets)
-        select t.plan_id, t.question_type
-        from t left join s on s.k = t.k and (t.source_dataset is null or t.source_dataset = s.d)
-        group by t.plan_id, t.source_dataset, t.question_type, t.target_share, t.min_rows, t.sample_rows
-        having count(s.k) < greatest(t.min_rows, cast(floor(t.target_share * t.sample_rows + 0.5 + 1e-9) as bigint))
-    """,
+    "p1_found": f"with {_TARGETS} select plan_id, question_type from o where observed_rows < need_rows",
+    "p1_quotas": f"with {_QUOTAS} select plan_id, question_type, observed_rows, need_rows, quota, greatest(0, need_rows - observed_rows) as missing_rows, greatest(0, need_rows - quota) as short_rows from q",
+    "p1_sample": f"""with {_QUOTAS} select plan_id, q.question_type, sft_id from q join s on s.k = q.k and (q.d is null or q.d = s.d)
+        qualify row_number() over (partition by plan_id, q.question_type order by md5('3407|' || plan_id || '|' || sft_id)) <= any_value(quota) over (partition by plan_id, q.question_type)""",
 }

@@ -31,8 +31,8 @@ NUMBERS = "0-9一二三四五六七八九十百千万两〇零"
 STAND_INS = r"null|none|n/?a|nan|nil|tbd|todo|undefined|missing|empty|unknown|待补充|待填写|待定|暂无|暂缺|缺失|空缺|空值|未填写|未填|无内容|无答案|没有内容"
 #: Letters by which tokens and the final tokens that are asked about meet.
 HEAD = 4
-#: Nodes that may be broadcast: of 20 letters each on average, some tens of MB at most.
-WANTED = 200_000
+#: Nodes that may be broadcast: of some tens of letters each, a few tens of MB at most.
+WANTED = 60_000
 #: Rows of a source of one length, against the typical number at its lengths, that make the length a field limit.
 PILE, PILE_ROWS = 6.0, 5
 

@@ -9,6 +9,7 @@ from tesserae.llm import overlap as O
 from tesserae.llm import repetition as R
 from tesserae.llm import spam as X
 from tesserae.llm import truncation as T
+from tesserae.llm.common import sift
 
 
 def brute_share(x, least=12):
@@ -184,10 +185,26 @@ def test_leaks_of_very_short_passages(rows):
     assert sorted((r.item_id, r.doc_id) for r in L.leaks(d, items).collect()) == [(1, 100), (1, 101), (2, 102), (3, 104)]
 
 
-def test_leaks_in_blocks(rows, monkeypatch):
-    monkeypatch.setattr(L, "ITEMS_AT_ONCE", 1)
-    items, d = rows([(1, PASSAGE), (2, ENGLISH)], "item_id long, passage string"), rows([(9, PASSAGE + ENGLISH)], "doc_id long, text string")
-    assert sorted((r.item_id, r.doc_id) for r in L.leaks(d, items).collect()) == [(1, 9), (2, 9)]
+def test_leaks_when_windows_are_shared_by_many(rows, monkeypatch):
+    """Windows that more than OWNERS passages share leave the join; what is found stays the same, and twins are found each."""
+    items = rows([(i, PASSAGE.replace("401", str(500 + i)).replace("棠榆", "甲乙丙丁戊己庚辛"[i] * 2)) for i in range(8)] + [(50, ENGLISH), (51, ENGLISH), (52, "Road 12345")], "item_id long, passage string")
+    docs = [PASSAGE.replace("401", "503").replace("棠榆", "丁丁"), ENGLISH + PASSAGE, "On road 12345 there is a pier.", "Road 98765", PASSAGE[:20]]
+    d = rows([(100 + i, t) for i, t in enumerate(docs)] + [(100, docs[0])], "doc_id long, text string")
+    want = sorted((r.item_id, r.doc_id) for r in L.leaks(d, items).collect())
+    assert {(3, 100), (50, 101), (51, 101), (52, 102)} <= set(want) and len(set(want)) == len(want) and not {x for x in want if x[1] > 102}
+    monkeypatch.setattr(L, "OWNERS", 2)
+    assert sorted((r.item_id, r.doc_id) for r in L.leaks(d, items, parts=3).collect()) == want
+
+
+def test_windows_and_sift(spark):
+    rng = random.Random(1)
+    x = "".join(rng.choice("abc图中") for _ in range(300))
+    for k in range(1, 14):
+        h = L.windows(x, k).tolist()
+        assert len(h) == 301 - k and len(set(h)) == len({x[i : i + k] for i in range(301 - k)}) == len({(a, x[i : i + k]) for i, a in enumerate(h)})
+    some = spark.range(5000).where("id % 100 = 7")
+    kept = {r.id for r in sift(spark.range(5000), "id", some).collect()}
+    assert {r.id for r in some.collect()} <= kept and len(kept) < 100 and sift(spark.range(50), "id", some.where("id < 0")).count() == 0
 
 
 def test_spam(rows):
