@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame
@@ -21,11 +22,23 @@ def once(df: DataFrame, **cols: Column) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise df on reliable storage and cut its lineage.
 
-    The folder is spark.checkpoint.dir as the cluster names it; only where that is unset (tests, notebooks)
-    a temporary folder is used.
+    The folder is spark.checkpoint.dir as the session names it. Only in local mode, where driver and executors share one
+    machine, is a temporary folder used instead; on a cluster the setting is required.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         at = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not at and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(at or os.path.join(tempfile.gettempdir(), "tesserae-checkpoints"))
     return df.checkpoint(eager=True)
+
+
+def salted_semi(rows: DataFrame, keys: DataFrame, key: str, by: str, salts: int = 16) -> DataFrame:
+    """Rows whose key is among keys[key], for keys that may hold any share of the rows.
+
+    Rows of one key are dealt out by a hash of another column, and the different keys are repeated for each salt.
+    """
+    salt = F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")
+    each = keys.select(key).where(F.col(key).isNotNull()).distinct().select(key, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    return rows.withColumn("_salt", salt).join(each, [key, "_salt"], "left_semi").select(*rows.columns)

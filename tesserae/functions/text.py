@@ -52,6 +52,17 @@ def flat_path(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(p, r"(?:/\.)+(?=/|$)", ""), r"^(?:\./)+", "")
 
 
+def resolve_path(c: Column, root: str = "") -> Column:
+    """An absolute path without '.' and '..' steps; relative paths stand under `root`, and '..' above the top stays there."""
+    p = flat_path(c)
+    p = F.when(p.rlike("^(?:/|[A-Za-z]:/|[a-z]+:/)"), p).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), p)) if root else p
+    steps = F.aggregate(
+        F.split(p, "/"), F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == ".", acc).when(x == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(acc)).otherwise(F.concat(acc, F.array(x))),
+    )
+    return F.when(F.contains(p, F.lit("/.")), F.array_join(steps, "/")).otherwise(p)
+
+
 def remap_image(c: Column, old: str, new: str) -> Column:
     """Move a path from one root to another by whole steps; a path that is not under `old`, or an empty `new`, stays as it is."""
     if not new:

@@ -82,6 +82,29 @@ def content_blocks(c: Column) -> Column:
     return F.concat(images, F.when(text != "", F.array(block("text", text))).otherwise(F.array().cast("array<struct<type:string,text:string>>")))
 
 
+def yes_no(answer: Column) -> Column:
+    """'yes' or 'no' of an answer that begins with an affirmation or a denial, else null; tags aside."""
+    text = T.strip(F.regexp_replace(F.regexp_replace(answer, "(?s)^.*<answer>", ""), "</?[a-z]+>", ""))
+    return F.when(text.rlike("^(?:否|无|没有|不)|(?i)^no\\b"), "no").when(text.rlike("^(?:是|有|存在|可见|可以)|(?i)^yes\\b"), "yes")
+
+
+def yes_no_balance(df: DataFrame, answer: str, question_type: Column) -> DataFrame:
+    """(label, cnt) of the existence answers that affirm or deny."""
+    d = df.where(question_type == "existence").select(yes_no(F.col(answer)).alias("label"))
+    return d.where("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def steps(answer: Column) -> Column:
+    """Numbered lines in an answer's analysis (or in the answer itself where there is none)."""
+    body = F.coalesce(F.nullif(F.regexp_extract(answer, "(?s)<analysis>(.*?)</analysis>", 1), F.lit("")), answer)
+    return F.regexp_count(body, F.lit(r"(?m)^[ \t]*[0-9０-９]+[.、．]"))
+
+
+def step_histogram(df: DataFrame, answer: str) -> DataFrame:
+    """(steps, cnt) over all answers that are not null."""
+    return df.where(F.col(answer).isNotNull()).groupBy(steps(F.col(answer)).cast("bigint").alias("steps")).agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def balance(df: DataFrame, mode: str) -> DataFrame:
     """Rows and share per answer mode."""
     n = df.groupBy(mode).agg(F.count(F.lit(1)).alias("cnt"))

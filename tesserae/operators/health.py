@@ -150,23 +150,52 @@ def charset(s: DataFrame) -> DataFrame:
     return t.select(F.round(rate("cjk"), 9).alias("cjk_rate"), F.round(rate("cyr"), 9).alias("cyr_rate"), (rate("cyr") > CYRILLIC_WARN).alias("warning"))
 
 
+def _figures(s: DataFrame) -> DataFrame:
+    """One row: entropy, share of the three most frequent prefixes and of the most frequent opening, from one pass.
+
+    Types, prefixes and openings are counted together by grouping sets; of the prefixes only the best of each partition
+    reach the task that ranks them.
+    """
+    cols = ("question_type", "prefix", "opening")
+    d = s.select("pos", "question_type", F.substring("question", 1, PREFIX).alias("prefix"), F.substring("answer", 1, OPENING).alias("opening"))
+    g = d.groupingSets([[c] for c in cols], *cols).agg(F.grouping_id(*cols).alias("_g"), F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"))
+    kind = F.when(F.col("_g") == 3, "type").when(F.col("_g") == 5, "prefix").otherwise("opening")
+    g = g.select(kind.alias("kind"), F.coalesce(*cols).alias("value"), "n", "first_pos")
+    best = Window.partitionBy("kind").orderBy(F.col("n").desc(), "first_pos", "value")
+    top = g.where("kind = 'prefix'").withColumn("_r", F.row_number().over(best)).where("_r <= 3").drop("_r")
+    n = lambda k, c: F.when(F.col("kind") == k, c)
+    w = g.where("kind <> 'prefix'").unionByName(top).agg(
+        F.sum(n("type", F.col("n"))).alias("t"), F.count(n("type", F.lit(1))).alias("k"), F.sum(n("type", F.col("n") * F.ln("n"))).alias("x"),
+        F.sum(n("prefix", F.col("n"))).alias("p"), F.max(n("opening", F.col("n"))).alias("o"),
+    )
+    e = F.when(F.col("k") <= 1, 1.0).otherwise((F.ln("t") - F.col("x") / F.col("t")) / F.ln("k"))
+    share = lambda c: F.coalesce(F.col(c) / F.col("t"), F.lit(0.0))
+    return w.select(e.alias("entropy"), share("p").alias("top3_share"), share("o").alias("max_opening_share"))
+
+
 def verdict(s: DataFrame) -> DataFrame:
     """One row: the three red lines and whether any is crossed."""
-    parts = entropy(s).select(
-        F.col("red").alias("entropy_red"), top3_share(s).select("red").scalar().alias("prefix_red"), opening_red(s).select("red").scalar().alias("opening_red")
-    )
+    parts = _figures(s).select((F.col("entropy") < ENTROPY_RED).alias("entropy_red"), (F.col("top3_share") > TOP3_RED).alias("prefix_red"), (F.col("max_opening_share") > OPENING_RED).alias("opening_red"))
     return parts.withColumn("red", F.col("entropy_red") | F.col("prefix_red") | F.col("opening_red"))
 
 
+def _marks(s: DataFrame) -> DataFrame:
+    """One row: rows with residual tags and with risky wording, and the rates of Chinese and Cyrillic, from one pass."""
+    t = s.agg(
+        F.count_if(F.col("answer").rlike(TAG)).cast("double").alias("tag_rows"), F.count_if(F.size(risk_hits()) > 0).cast("double").alias("risk_rows"),
+        F.sum(T.cjk_count(F.col("answer"))).alias("_cjk"), F.sum(T.cyrillic_count(F.col("answer"))).alias("_cyr"), F.coalesce(F.sum(F.length("answer")), F.lit(0)).alias("_n"),
+    )
+    rate = lambda c: F.when(F.col("_n") == 0, 0.0).otherwise(F.round(F.col(c) / F.col("_n"), 9))
+    return t.select("tag_rows", "risk_rows", rate("_cjk").alias("cjk_rate"), rate("_cyr").alias("cyr_rate"))
+
+
 def summary(s: DataFrame) -> DataFrame:
-    """All single figures of the report in long form (metric, value)."""
+    """All single figures of the report in long form (metric, value), from three passes: counts, lengths and marks."""
+    long = lambda df, **cols: df.select(F.map_from_arrays(F.array(*map(F.lit, cols)), F.array(*[c.cast("double") for c in cols.values()])).alias("m"))
+    c = F.col
     one = (
-        length_overall(s).drop("long_warning").select(F.map_from_arrays(F.array(*map(F.lit, ("n", "mean", "median", "p90", "max"))), F.array(*[F.col(c).cast("double") for c in ("cnt", "mean_len", "median_len", "p90_len", "max_len")])).alias("m"))
-        .unionAll(entropy(s).select(F.create_map(F.lit("entropy"), F.col("entropy"))))
-        .unionAll(top3_share(s).select(F.create_map(F.lit("top3_share"), F.col("top3_share"))))
-        .unionAll(opening_red(s).select(F.create_map(F.lit("max_opening_share"), F.col("max_share"))))
-        .unionAll(tag_residual(s).select(F.create_map(F.lit("tag_rows"), F.col("tag_rows").cast("double"))))
-        .unionAll(risk_rows(s).select(F.create_map(F.lit("risk_rows"), F.col("risk_rows").cast("double"))))
-        .unionAll(charset(s).select(F.create_map(F.lit("cjk_rate"), F.col("cjk_rate"), F.lit("cyr_rate"), F.col("cyr_rate"))))
+        long(length_overall(s), n=c("cnt"), mean=c("mean_len"), median=c("median_len"), p90=c("p90_len"), max=c("max_len"))
+        .unionAll(long(_figures(s), entropy=F.round("entropy", 9), top3_share=F.round("top3_share", 6), max_opening_share=F.round("max_opening_share", 6)))
+        .unionAll(long(_marks(s), tag_rows=c("tag_rows"), risk_rows=c("risk_rows"), cjk_rate=c("cjk_rate"), cyr_rate=c("cyr_rate")))
     )
     return one.select(F.explode("m").alias("metric", "value"))

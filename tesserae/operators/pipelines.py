@@ -26,23 +26,27 @@ ANSWER = "{question}"
 
 def generate(
     samples: DataFrame, described: DataFrame, asked: DataFrame, answered: DataFrame, make: Callable[[], X.TeacherFn] = X.stub,
-    low: int = 3, high: int = 4, seed: int = 42, strict: bool = True, now: str = "", in_flight: int = 0,
+    low: int = 3, high: int = 4, seed: int = 42, strict: bool = True, now: str = "", in_flight: int = 24, retries: int = 3,
 ) -> dict[str, DataFrame]:
     """descriptions, questions, answers and counters of one resumed run.
 
     samples (dataset, image_path); described (image_path, dataset, description); asked (image_path, dataset, description,
     questions); answered (image_path, question). Pictures with questions go on to answers, with a description to
-    questions, others start anew. Empty descriptions and responses without a valid question are not kept. Answers are asked
+    questions, others start anew; a picture listed under several datasets counts as of the least. Empty descriptions and responses without a valid question are not kept. Answers are asked
     for once every picture is described and asked about (see resume.barrier), or at once without the strict barrier.
     """
     staged = R.stages(samples, described, asked)
-    told = cut(X.ask(staged.where("stage = 'phase1'").select("dataset", "image_path"), F.lit(DESCRIBE), "image_path", make, "describe", "description", in_flight))
-    fresh = told.where("error is null and description <> ''").select("image_path", "dataset", "description")
-    waiting = staged.where("stage = 'phase2'").select("image_path").distinct().join(described.select("image_path", "dataset", "description"), "image_path")
-    todo = fresh.unionByName(waiting)
+    have = described.groupBy("image_path").agg(F.min(F.struct("dataset", "description")).alias("_d")).select("image_path", "_d.*")
+    waiting = staged.where("stage = 'phase2'").select("image_path").distinct().join(have, "image_path")
+    starting = staged.where("stage = 'phase1'").groupBy("image_path").agg(F.min("dataset").alias("dataset")).withColumn("description", F.lit(None).cast("string"))
+    # plans are joined first, so that a picture is described and asked about in one go, without a barrier between the two
+    todo = cut(starting.unionByName(waiting.select("image_path", "dataset", "description")))
     plan = S.plan_text(S.assign_types(todo, "image_path", low, high, seed), "image_path")
-    prompts = todo.join(plan, "image_path", "left")
-    raw = cut(X.ask(prompts, X.render(ASK, description=F.col("description"), plan=F.col("plan")), "image_path", make, "ask", "response", in_flight))
+    prompts = todo.join(plan, "image_path", "left").withColumn("new", F.col("description").isNull())
+    told = X.ask(prompts, F.lit(DESCRIBE), "image_path", make, "describe", "said", in_flight, retries, F.col("new"), "describe_error")
+    told = told.withColumn("description", F.coalesce("description", "said"))
+    raw = cut(X.ask(told, X.render(ASK, description=F.col("description"), plan=F.col("plan")), "image_path", make, "ask", "response", in_flight, retries, F.coalesce(F.col("description") != "", F.lit(False))))
+    fresh = raw.where("new and description <> ''").select("image_path", "dataset", "description")
     lines = R.parse_questions(raw.where("error is null").select("image_path", "dataset", "description", "response"), "response", high)
     each = F.array_sort(F.collect_list(F.struct("i", "question_type", "question")))  # at most `high` of a picture
     new = lines.groupBy("image_path", "dataset", "description").agg(F.transform(each, lambda x: F.struct(x["question_type"].alias("question_type"), x["question"].alias("question"))).alias("questions"))
@@ -56,10 +60,10 @@ def generate(
     if not R.barrier((done + n_waiting + n_new, n_asked, total), strict):
         pending = pending.where(F.lit(False))
     sources = samples.groupBy("image_path").agg(F.min("dataset").alias("dataset"))
-    said = cut(X.ask(pending.join(sources, "image_path"), X.render(ANSWER, question=F.col("question")), "image_path", make, "answer", "answer", in_flight))
+    said = cut(X.ask(pending.join(sources, "image_path"), X.render(ANSWER, question=F.col("question")), "image_path", make, "answer", "answer", in_flight, retries))
     good = said.where("error is null").withColumn("_now", F.lit(now)).withColumn("_mode", F.lit("distill"))
     records = C.as_answers(good, "image_path", "question", "answer", "question_type", "dataset", "_now", "_mode").select("messages", "images", "meta")
-    failed = told.select("error").unionAll(raw.select("error")).unionAll(said.select("error")).where("error is not null")
+    failed = raw.select(F.explode(F.array("describe_error", "error")).alias("error")).unionAll(said.select("error")).where("error is not null")
     per = R.run_counters(good, "dataset", "question_type").where("metric <> 'phase3_completed'")
     kept = R.relevant_keys(answered, samples).select("image_path", "question").unionAll(good.select("image_path", "question"))
     spark = samples.sparkSession

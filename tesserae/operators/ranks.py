@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.rows import cut
+
 
 def shuffle_key(seed: int | str, *keys: Column) -> Column:
     """The place of a row in the shuffle of a seed."""
@@ -43,6 +45,19 @@ def shuffled_rank(df: DataFrame, group: Sequence[str], key: str, seed: int | str
     )
 
 
+def numbered(df: DataFrame, order: str, name: str = "place") -> DataFrame:
+    """df with the running number (from 0) of each row in the order of a column; equal values in any order.
+
+    Rows are sorted inside range partitions, whose counts are summed up: numbers inside a partition come from
+    monotonically_increasing_id, which holds the partition above its 33 lower bits.
+    """
+    at = cut(df.orderBy(order).withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_id", 33)))
+    counts = at.groupBy(F.col("_part").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))  # one row a partition
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inside = F.col("_id").bitwiseAND((1 << 33) - 1)
+    return at.join(before, F.col("_part") == F.col("_p")).withColumn(name, F.col("_before") + inside).drop("_id", "_part", "_p", "_n", "_before")
+
+
 def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the last in order; max_by is combined before the shuffle, so hot keys cost nothing extra."""
     rest = [c for c in df.columns if c not in keys]

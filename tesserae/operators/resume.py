@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.rows import salted_semi
 
 #: Types that a generated question may have.
 QUESTION_TYPES = ("existence", "attribute", "location", "spatial_relation", "counting", "unanswerable", "ambiguous")
@@ -25,14 +26,14 @@ def pending_answers(samples: DataFrame, asked: DataFrame, answered: DataFrame, i
     asked has one row per picture with the array `questions`, or one row per question (question_type, question), which
     suits pictures with very many questions: they spread over the join on (picture, question).
     """
-    mine = asked.join(samples.select(image).distinct(), image, "left_semi")
-    each = mine.select(image, "question_type", "question") if "question" in asked.columns else mine.select(F.col(image), F.explode("questions").alias("q")).select(image, "q.question_type", "q.question")
+    each = asked.select(image, "question_type", "question") if "question" in asked.columns else asked.select(F.col(image), F.explode("questions").alias("q")).select(image, "q.question_type", "q.question")
+    each = salted_semi(each, samples, image, "question")
     return each.join(answered.select(image, "question").distinct(), [image, "question"], "left_anti")
 
 
 def relevant_keys(answered: DataFrame, samples: DataFrame, image: str = "image_path") -> DataFrame:
     """Answer keys of sampled pictures with a non-empty question."""
-    return answered.where("question is not null and question <> ''").join(samples.select(image).distinct(), image, "left_semi").distinct()
+    return salted_semi(answered.where("question is not null and question <> ''").distinct(), samples, image, "question")
 
 
 def pending_predictions(rows: DataFrame, done: DataFrame, order: str, limit: int = 0) -> DataFrame:
@@ -41,6 +42,15 @@ def pending_predictions(rows: DataFrame, done: DataFrame, order: str, limit: int
     return some.join(done.select("image", "question").distinct(), ["image", "question"], "left_anti")
 
 
+def pending_of_runs(rows: DataFrame, done: DataFrame, run: str) -> DataFrame:
+    """rows once for each run that lacks a prediction for them; the runs are those that done names, few of them."""
+    have = done.where("image is not null and question is not null").groupBy("image", "question").agg(F.collect_set(run).alias("_have"))
+    runs = done.agg(F.array_sort(F.collect_set(run))).scalar()
+    j = rows.join(have, ["image", "question"], "left")
+    lacking = F.array_except(runs, F.coalesce("_have", F.array().cast("array<string>")))
+    return j.select(*rows.columns, F.explode(lacking).alias(run))
+
+
 def parse_questions(df: DataFrame, response: str, cap: int = 0) -> DataFrame:
     """df exploded to its 'type|question' lines: i (order in the response), question_type, question.
 
@@ -58,7 +68,7 @@ def parse_questions(df: DataFrame, response: str, cap: int = 0) -> DataFrame:
     return e.select(*df.columns, (F.col("_i") + 1).cast("bigint").alias("i"), kind(F.col("_l")).alias("question_type"), rest(F.col("_l")).alias("question"))
 
 
-def run_counters(answers: DataFrame, dataset: str, question_type: str, stage_counts: dict[str, Column] | None = None) -> DataFrame:
+def run_counters(answers: DataFrame, dataset: str, question_type: str) -> DataFrame:
     """(metric, value): phase counters, dataset_* and type_* of a run, in one pass."""
     g = answers.groupingSets([[dataset], [question_type], []], dataset, question_type).agg(
         F.grouping(dataset).alias("_gd"), F.grouping(question_type).alias("_gt"), F.count(F.lit(1)).alias("value")

@@ -11,6 +11,7 @@ from pathlib import PurePosixPath
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from .ranks import last_wins
 
 MODES = ("pending", "approved", "rejected", "compare", "all")
@@ -55,6 +56,17 @@ def summary(samples: DataFrame, decided: DataFrame, predicted: DataFrame) -> Dat
     return d.select(samples.agg(F.count(F.lit(1))).scalar().alias("total"), "reviewed", "approved", "rejected", have.agg(F.count(F.lit(1))).scalar().alias("with_prediction"))
 
 
+def approved(rows: DataFrame, decided: DataFrame, key: str = "id") -> DataFrame:
+    """The rows whose last decision is an approval, whole and with their columns."""
+    return rows.join(decided.where("decision = 'approved'").select(F.col("id").alias(key)), key, "left_semi")
+
+
+def exact_match(df: DataFrame, run: str, prediction: str, reference: str) -> DataFrame:
+    """Per run: rows and predictions that are the reference but for outer white space."""
+    hit = T.strip(F.col(prediction)) == T.strip(F.col(reference))
+    return df.groupBy(run).agg(F.count(F.lit(1)).alias("cnt"), F.count_if(hit).alias("hits"))
+
+
 def parse_predictions(specs: Sequence[str] | None) -> list[tuple[str, str]]:
     """'label=path' or 'path' (the file's stem is the label), in order."""
     out = []

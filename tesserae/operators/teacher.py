@@ -12,11 +12,14 @@ import os
 import random
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import numbered
+
 TeacherFn = Callable[[str, str, int, float], str]
 #: Statuses of a server that is only busy, and the limits of a stage (tokens, temperature).
 OVERLOADED = frozenset({429, 502, 503, 504})
@@ -87,28 +90,41 @@ def render(template: str, **cols: Column) -> Column:
     return F.concat(*out) if out else F.lit("")
 
 
-def ask(df: DataFrame, prompt: Column, image: str, make: Callable[[], TeacherFn] = stub, stage: str = "answer", out: str = "response", in_flight: int = 0) -> DataFrame:
-    """df with the response and `error` (null if it went well); in_flight > 0 sets how many partitions ask at once."""
+def ask(
+    df: DataFrame, prompt: Column, image: str, make: Callable[[], TeacherFn] = stub, stage: str = "answer", out: str = "response",
+    in_flight: int = 24, retries: int = 3, only: Column | None = None, error: str = "error",
+) -> DataFrame:
+    """df with the response and `error` (null if it went well).
+
+    Each task has one client with retries and a pool of threads, since a call waits for a server; in_flight bounds the calls
+    of all cores together. Rows for which `only` does not hold are not asked about: response and error stay null. Two
+    calls may be chained without a barrier: a row goes on to the second as soon as its batch has passed the first.
+    """
     tokens, temperature = STAGE[stage]
-    d = df.withColumn("_prompt", prompt)
-    if in_flight > 0:
-        d = d.repartition(in_flight)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    d = df.withColumn("_prompt", F.when(only, prompt) if only is not None else F.coalesce(prompt, F.lit("")))
+    d = d.repartition(in_flight) if 0 < in_flight < cores else d
+    threads = max(1, in_flight // cores)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = make()
-        for pdf in parts:
-            texts, errors = [], []
-            for p, i in zip(pdf["_prompt"], pdf[image]):
-                try:
-                    texts.append(call(p, i, tokens, temperature))
-                    errors.append(None)
-                except Exception as e:
-                    texts.append(None)
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield pdf.drop(columns="_prompt").assign(**{out: texts, "error": errors})
+        call = patient(make(), retries)
+
+        def one(row: tuple) -> tuple[str | None, str | None]:
+            if row[0] is None:
+                return None, None
+            try:
+                return call(row[0], row[1], tokens, temperature), None
+            except Exception as e:
+                return None, f"{type(e).__name__}: {e}"
 
-    return d.mapInPandas(run, f"{fields}, {out} string, error string")
+        with ThreadPoolExecutor(threads) as pool:
+            for pdf in parts:
+                rows = list(zip(pdf["_prompt"].astype(object).where(pdf["_prompt"].notna(), None), pdf[image]))
+                said = list(pool.map(one, rows) if threads > 1 else map(one, rows))
+                yield pdf.drop(columns="_prompt").assign(**{out: pd.Series([x for x, _ in said], dtype=object, index=pdf.index), error: pd.Series([e for _, e in said], dtype=object, index=pdf.index)})
+
+    return d.mapInPandas(run, f"{fields}, `{out}` string, `{error}` string")
 
 
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -132,3 +148,12 @@ def reward_query(template: str, messages: Column, truth: Column) -> Column:
     q = F.replace(F.lit(template), F.lit("#query#"), F.to_json(before))
     q = F.replace(q, F.lit("#ground_truth#"), truth)
     return F.replace(q, F.lit("#response#"), F.element_at(messages, -1)["content"])
+
+
+def by_position(requests: DataFrame, truths: DataFrame, order: str, truth: str) -> DataFrame:
+    """Requests with the truth at the same place of the other table's order; what the longer one has more is left out.
+
+    Places are running numbers over the table's order, made from the counts of range partitions, so no task sorts a whole table.
+    """
+    a, b = numbered(requests, order, "_place"), numbered(truths.select(order, truth), order, "_place").drop(order)
+    return a.join(b, "_place").drop("_place")

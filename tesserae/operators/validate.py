@@ -66,7 +66,7 @@ def validate(df: DataFrame, answer: str, question_type: str, expect_analysis: Co
         meta = meta | F.contains(ana, F.lit(w))
     place = F.lit(False)
     for w in LOCATION_WORDS:
-        place = place | F.contains(ans, F.lit(w)) | F.contains(F.when(ea, ana).otherwise(ana), F.lit(w))
+        place = place | F.contains(ans, F.lit(w)) | F.contains(ana, F.lit(w))
     with_analysis = [
         F.when(steps == 0, NO_STEPS).when(steps > 3, F.concat(F.lit("analysis 步骤数为 "), steps.cast("string"), F.lit("，建议不超过 3 步"))),
         F.when(F.length(ana) < 20, SHORT),
@@ -107,10 +107,13 @@ def salvaged(df: DataFrame, answer: str, question_type: str, expect_analysis: Co
     """
     d = validate(df, answer, question_type, expect_analysis).drop("warnings", "is_valid")
     new = F.when(F.col("label") == "pass", F.col(answer)).otherwise(salvage(F.coalesce(F.col(answer), F.lit("")), F.coalesce(expect_analysis, F.lit(True))))
-    d = once(d, new_answer=new).withColumn("salvaged", (F.col("label") != "pass") & (F.col("new_answer") != F.coalesce(F.col(answer), F.lit(""))))
-    d = validate(d.withColumnRenamed("label", "_old"), "new_answer", question_type, expect_analysis).drop("warnings", "is_valid")
-    d = d.withColumn("new_label", F.when(F.col("salvaged"), F.col("label")).otherwise(F.col("_old"))).drop("label").withColumnRenamed("_old", "label")
-    return d.withColumn("recovered", F.col("salvaged") & (F.col("new_label") == "pass"))
+    d = once(d, new_answer=new)
+    d = once(d, salvaged=(F.col("label") != "pass") & (F.col("new_answer") != F.coalesce(F.col(answer), F.lit(""))))
+    as_is = d.where(~F.col("salvaged")).withColumn("new_label", F.col("label"))
+    mended = d.where("salvaged").withColumnRenamed("label", "_old")
+    mended = validate(mended, "new_answer", question_type, expect_analysis).drop("warnings", "is_valid").withColumnRenamed("label", "new_label").withColumnRenamed("_old", "label")
+    both = as_is.unionByName(mended)
+    return both.withColumn("recovered", F.col("salvaged") & (F.col("new_label") == "pass"))
 
 
 def salvage_counts(judged: DataFrame) -> DataFrame:

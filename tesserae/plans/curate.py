@@ -66,6 +66,10 @@ QUERIES = {
     "filter_auto_validation": lambda spark, d: C.filter_counts(table(spark, d, "reviews"), C.validated(F.col("decision") == "approved", F.when(F.col("note") != "", "warning"))),
     "type_dist_desc": lambda spark, d: C.type_counts(table(spark, d, "sft"), "question_type", "sft_id"),
     "answer_mode_share": lambda spark, d: C.balance(table(spark, d, "sft"), "answer_mode"),
+    "yes_no_balance": lambda spark, d: C.yes_no_balance(table(spark, d, "sft"), "answer", F.lower(T.strip(F.col("question_type")))),
+    "step_histogram": lambda spark, d: C.step_histogram(table(spark, d, "sft"), "answer"),
+    "resolve_path": lambda spark, d: table(spark, d, "sft").select("sft_id", T.resolve_path(F.col("image"), "/data").alias("image")),
+    "two_image_records": lambda spark, d: P.record(P.complete_pairs(P.registry(_paths(spark, d), "path")).withColumn("answer", F.concat_ws("-", "event", "img_id")), "pre", "post", PROMPT, "answer").select(F.col("images")[0].alias("first"), F.col("images")[1].alias("second"), F.col("messages")[0]["content"].alias("user_text"), F.col("messages")[1]["content"].alias("answer")),
     "missing_files": lambda spark, d: C.missing_files(table(spark, d, "sft").select(T.flat_path(F.col("image")).alias("image")), "image", table(spark, d, "manifest").select(T.flat_path(F.col("image_path")).alias("p")), "p"),
     "content_blocks": _blocks,
     "rewrite_user_turn": lambda spark, d: _answers(spark, d).select("sft_id", C.rewrite_role(F.col("messages"), "user", PROMPT).alias("m")).select("sft_id", F.col("m")[0]["content"].alias("user_text"), F.col("m")[1]["content"].alias("assistant_text")),
@@ -104,6 +108,16 @@ SQL = {
         select count(*) filter (where ok) as kept, count(*) filter (where not ok) as dropped from k""",
     "type_dist_desc": "select coalesce(question_type, '') as question_type, count(*) as cnt from sft group by 1",
     "answer_mode_share": "select answer_mode, count(*) as cnt, round(count(*) / (select count(*) from sft)::double, 9) as share from sft group by 1",
+    "yes_no_balance": f"""with t as (select {strip_sql("regexp_replace(regexp_replace(answer, '(?s)^.*<answer>', ''), '</?[a-z]+>', '', 'g')")} as a from sft where lower({strip_sql('question_type')}) = 'existence'),
+        l as (select case when regexp_matches(a, '^(否|无|没有|不)') or regexp_matches(a, '(?i)^no\\b') then 'no' when regexp_matches(a, '^(是|有|存在|可见|可以)') or regexp_matches(a, '(?i)^yes\\b') then 'yes' end as label from t)
+        select label, count(*) as cnt from l where label is not null group by 1""",
+    "step_histogram": r"""with t as (select coalesce(nullif(regexp_extract(answer, '(?s)<analysis>(.*?)</analysis>', 1), ''), answer) as b from sft where answer is not null)
+        select cast(len(regexp_extract_all(b, '(?m)^[ \t]*[0-9０-９]+[.、．]')) as bigint) as steps, count(*) as cnt from t group by 1""",
+    "resolve_path": rf"""with p as (select sft_id, image, case when image is null then null when regexp_matches({_FLAT('image')}, '^(/|[A-Za-z]:/|[a-z]+:/)') then {_FLAT('image')} else '/data/' || {_FLAT('image')} end as p from sft),
+        q as (select sft_id, p, case when contains(p, '/.') then array_to_string(list_reduce(list_prepend([]::varchar[], list_transform(string_split(p, '/'), lambda x: [x])), lambda acc, x: case when x[1] = '.' then acc when x[1] = '..' then case when len(acc) > 1 then acc[:-2] else acc end else list_concat(acc, x) end), '/') else p end as r from p)
+        select sft_id, r as image from q""",
+    "two_image_records": f"""with {_REG} select pre as first, post as second, '<image>' || chr(10) || '<image>' || chr(10) || '{PROMPT}' as user_text, event || '-' || img_id as answer from g where pre is not null and post is not null
+        qualify row_number() over (partition by event order by img_id) <= 50""",
     "missing_files": f"select distinct {_FLAT('image')} as image from sft where image is not null and {_FLAT('image')} not in (select {_FLAT('image_path')} from manifest where image_path is not null)",
     "content_blocks": f"select sft_id, cast((length(coalesce(question, '')) - length(replace(coalesce(question, ''), '<image>', ''))) / 7 as bigint) as images, {strip_sql(f'coalesce({_NOTOKEN}, chr(32))')} as text from sft",
     "rewrite_user_turn": f"select sft_id, '{PROMPT}' as user_text, answer as assistant_text from sft",

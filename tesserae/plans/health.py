@@ -16,7 +16,14 @@ def _query(f):
     return lambda spark, d: f(_s(spark, d))
 
 
+def _d(spark: SparkSession, d: str) -> DataFrame:
+    """The same over the documents: their kind as type, title as question, text as answer."""
+    return H.samples(table(spark, d, "documents"), "doc_id", "doc_kind", "title", "text")
+
+
 QUERIES = {
+    "health_risk_words_of_documents": lambda spark, d: H.risk_words(_d(spark, d)),
+    "health_risk_rows_of_documents": lambda spark, d: H.risk_rows(_d(spark, d)),
     "health_type_dist": _query(H.type_distribution),
     "health_entropy": _query(H.entropy),
     "health_prefix_topn": _query(H.prefix_top),
@@ -55,7 +62,12 @@ _HITS = f"""e as (
 _CHARS = r"""select sum(len(regexp_extract_all(a, '[\x{4e00}-\x{9fff}]'))) as cjk, sum(len(regexp_extract_all(a, '[\x{0400}-\x{04ff}]'))) as cyr, sum(length(a)) as n from s"""
 _LEN = f"""round(avg(len), 6) as mean_len, median(len)::double as median_len, max(len) as max_len"""
 
+_D = f"""with s as (
+    select doc_id as pos, coalesce(doc_kind, '?') as qt, coalesce(title, '') as q, coalesce(text, '') as a from documents)"""
+
 SQL = {
+    "health_risk_words_of_documents": f"{_D}, {_HITS} select w as word, count(*) as cnt from e group by w order by 2 desc, min(pos), min(i) limit 12",
+    "health_risk_rows_of_documents": f"{_D}, {_HITS} select (select count(distinct pos) from e) as risk_rows, round((select count(distinct pos) from e) / count(*)::double, 9) as risk_share from s",
     "health_type_dist": f"""{S}, g(t, target) as (values {_SCHEDULE}), n as (select qt, count(*) as n from s group by qt)
         select coalesce(qt, t) as question_type, coalesce(n, 0) as cnt, round(coalesce(n, 0) / (select count(*) from s)::double, 9) as share, target,
             case when target is null then '非目标' when coalesce(n, 0) / (select count(*) from s)::double > target * 1.5 then '偏高'

@@ -39,8 +39,8 @@ def _items(mode: str):
 
 
 def _asked(spark: SparkSession, d: str) -> DataFrame:
-    """(image_path, question_type, question): generated questions, from the training rows of distill mode."""
-    s = table(spark, d, "sft").where("answer_mode = 'distill' and image is not null and question is not null")
+    """(image_path, question_type, question): generated questions, those of all training rows."""
+    s = table(spark, d, "sft").where("image is not null and question is not null")
     return s.select(F.col("image").alias("image_path"), "question_type", "question")
 
 
@@ -49,8 +49,8 @@ def _listing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _answered(spark: SparkSession, d: str) -> DataFrame:
-    """Answers that exist already: the longer ones."""
-    return table(spark, d, "sft").where("image is not null and question is not null and answer is not null and length(answer) > 20").select(F.col("image").alias("image_path"), "question")
+    """Answers that exist already: all that are not null."""
+    return table(spark, d, "sft").where("image is not null and question is not null and answer is not null").select(F.col("image").alias("image_path"), "question")
 
 
 def _described(spark: SparkSession, d: str) -> DataFrame:
@@ -77,15 +77,16 @@ QUERIES = {
     "review_joined": lambda spark, d: V.with_review(_samples(spark, d), _decided(spark, d)).select("sft_id", "decision"),
     "review_summary": lambda spark, d: V.summary(_samples(spark, d), _decided(spark, d), _predicted(spark, d)),
     "compare_models": lambda spark, d: V.compare(_val_samples(spark, d), _predicted(spark, d), LABELS).select("val_id", *LABELS),
-    "approved_train": _items("approved"),
+    "approved_train": lambda spark, d: V.approved(_samples(spark, d).join(table(spark, d, "sft").select("sft_id", "image", "question", "answer"), "sft_id"), _decided(spark, d)).select("sft_id", "image", "question", "answer"),
     "predictions_latest": _predicted,
     "resume_stage": lambda spark, d: R.stages(_listing(spark, d), _described(spark, d), _asked(spark, d)),
     "pending_answers": lambda spark, d: R.pending_answers(_listing(spark, d), _asked(spark, d), _answered(spark, d)),
     "relevant_keys": lambda spark, d: R.relevant_keys(_answered(spark, d), _listing(spark, d)),
-    "pending_predictions": lambda spark, d: R.pending_predictions(table(spark, d, "val").where("image is not null and question is not null"), table(spark, d, "val_pred").where("run_name = 'tuned'"), "val_id").select("val_id"),
+    "pending_predictions": lambda spark, d: R.pending_of_runs(table(spark, d, "val").where("image is not null and question is not null"), table(spark, d, "val_pred"), "run_name").select("val_id", "run_name"),
     "predict_stub": _told,
     "content_flatten": _flat,
-    "exact_match_reward": lambda spark, d: table(spark, d, "val_pred").groupBy("run_name").agg(F.count(F.lit(1)).alias("cnt"), F.count_if(T.strip(F.col("prediction")) == T.strip(F.col("reference"))).alias("hits")),
+    "exact_match_reward": lambda spark, d: V.exact_match(table(spark, d, "val_pred"), "run_name", "prediction", "reference"),
+    "truth_by_position": lambda spark, d: X.by_position(table(spark, d, "val_pred").select("pred_id", "prediction").withColumnRenamed("pred_id", "at"), table(spark, d, "val").select(F.col("val_id").alias("at"), "answer"), "at", "answer"),
 }
 
 _KEY = f"image || '|' || {strip_sql('replace(question, $$<image>$$, $$$$)')}"
@@ -94,8 +95,8 @@ _V = "v as (select val_id, image || '|' || question as id from val where image i
 _D = "d as (select id, decision from reviews where decision in ('approved', 'rejected') and id is not null qualify row_number() over (partition by id order by updated_at desc, decision desc, note desc) = 1)"
 _P = "p as (select image || '|' || question as id, run_name as label, coalesce(prediction, '') as prediction from val_pred where image is not null and question is not null qualify row_number() over (partition by image, question, run_name order by predicted_at desc, pred_id desc) = 1)"
 _L = "l as (select distinct dataset, image_path from manifest where image_path is not null)"
-_A = "a as (select distinct image as image_path, question from sft where image is not null and question is not null and answer is not null and length(answer) > 20)"
-_Q = "q as (select image as image_path, question_type, question from sft where answer_mode = 'distill' and image is not null and question is not null)"
+_A = "a as (select distinct image as image_path, question from sft where image is not null and question is not null and answer is not null)"
+_Q = "q as (select image as image_path, question_type, question from sft where image is not null and question is not null)"
 
 SQL = {
     "review_decisions": f"with {_D} select * from d",
@@ -108,13 +109,15 @@ SQL = {
     "review_summary": f"""with {_S}, {_D}, {_P} select (select count(*) from s) as total, (select count(*) from d) as reviewed, (select count(*) from d where decision = 'approved') as approved,
         (select count(*) from d where decision = 'rejected') as rejected, (select count(*) from s where id in (select id from p)) as with_prediction""",
     "compare_models": f"with {_V}, {_P} select val_id, b.prediction as base, t.prediction as tuned from v left join p b on b.id = v.id and b.label = 'base' left join p t on t.id = v.id and t.label = 'tuned'",
-    "approved_train": f"with {_S}, {_D} select * from s where id in (select id from d where decision = 'approved')",
+    "approved_train": f"with {_S}, {_D} select sft_id, image, question, answer from s join sft using (sft_id) where id in (select id from d where decision = 'approved')",
     "predictions_latest": f"with {_P} select * from p",
     "resume_stage": f"""with {_L}, {_Q} select image_path, dataset, case when image_path in (select image_path from q) then 'done' when image_path in (select image from val where image is not null) then 'phase2' else 'phase1' end as stage from l""",
     "pending_answers": f"with {_L}, {_A}, {_Q} select image_path, question_type, question from q where image_path in (select image_path from l) and not exists (select 1 from a where a.image_path = q.image_path and a.question = q.question)",
     "relevant_keys": f"with {_L}, {_A} select image_path, question from a where question <> '' and image_path in (select image_path from l)",
-    "pending_predictions": "select val_id from val v where image is not null and question is not null and not exists (select 1 from val_pred p where p.run_name = 'tuned' and p.image = v.image and p.question = v.question)",
+    "pending_predictions": """select val_id, r.run_name from val v, (select distinct run_name from val_pred) r where image is not null and question is not null
+        and not exists (select 1 from val_pred p where p.run_name = r.run_name and p.image = v.image and p.question = v.question)""",
     "predict_stub": f"select val_id, 'stub-' || substr(md5(coalesce(image, '') || '|' || replace('{PROMPT}', '{{question}}', coalesce(question, ''))), 1, 12) as response, cast(null as varchar) as error from val",
     "content_flatten": f"select item_id, case item_id % 3 when 0 then {strip_sql('lang')} || chr(10) || {strip_sql('question')} || chr(10) || {strip_sql('passage')} when 1 then {strip_sql('passage')} else '' end as text from eval_items",
+    "truth_by_position": """select p.pred_id as at, p.prediction, v.answer from (select *, row_number() over (order by pred_id) as r from val_pred) p join (select *, row_number() over (order by val_id) as r from val) v using (r)""",
     "exact_match_reward": f"select run_name, count(*) as cnt, count(*) filter (where {strip_sql('prediction')} = {strip_sql('reference')}) as hits from val_pred group by 1",
 }

@@ -43,6 +43,11 @@ QUERIES = {
     "balanced_sample": lambda spark, d: S.balanced(_typed(spark, d), "question_type", 500, "sft_id").select("sft_id", "question_type"),
     "balanced_by_group": lambda spark, d: S.balanced(_typed(spark, d), "question_type", 90, "sft_id", by=("source_dataset",)).select("sft_id", "question_type", "source_dataset"),
     "first_n_per_group": lambda spark, d: S.first_n(_typed(spark, d), "question_type", 7, "sft_id").select("sft_id", "question_type"),
+    "choose_total": lambda spark, d: S.choose(_images(spark, d), "image_path", "dataset", total=60, per_dataset="9"),
+    "choose_number": lambda spark, d: S.choose(_images(spark, d), "image_path", "dataset", per_dataset=" 9 "),
+    "choose_spec_nested": lambda spark, d: S.choose(_images(spark, d), "image_path", "dataset", per_dataset="SECOND=30,odd=3", nested=("EBD", T.parent_folder(F.col("image_path"), 2), 2)),
+    "unknown_names": lambda spark, d: S.unknown_names({"SECOND": 1, "odd": 2, "EBD": 0}, _images(spark, d), "dataset"),
+    "shuffled_output": lambda spark, d: S.shuffled(_typed(spark, d), "sft_id").select("sft_id", "question_type"),
     "train_val_split": lambda spark, d: S.train_val(_typed(spark, d), "sft_id", RATIO).select("sft_id", "split"),
 }
 
@@ -72,7 +77,8 @@ def _assign() -> str:
         a as (select image_path, i, case {' '.join(cases)} else '{list(SCHEDULE)[-1]}' end as question_type from u)"""
 
 
-_GOAL = ", ".join(f"('{t}', {w!r}::double)" for t, w in S.MAIN_TARGETS.items())
+ASSIGN = _assign()
+_GOAL = ", ".join(f"('{t}', {w!r}::double)" for t, w in ((t, SCHEDULE[t] / sum(map(SCHEDULE.get, S.MAIN_TYPES))) for t in S.MAIN_TYPES))
 _CAPS = f"""g(question_type, w) as (values {_GOAL}), n as (select g.question_type, w, count(t.sft_id) as available from g left join t using (question_type) group by 1, 2),
     c as (select question_type, available, cast(least(round_even(w * (select floor(min(available / w)) from n), 0), available) as bigint) as take from n)"""
 _ORDER = "case question_type " + " ".join(f"when '{t}' then {i}" for i, t in enumerate(SCHEDULE)) + " end"
@@ -84,8 +90,8 @@ SQL = {
     "sample_spec": f"with {IMG} select * from i qualify row_number() over (partition by dataset order by {md5(42, 'image_path')}, image_path) <= case dataset when 'SECOND' then 200 when 'LEVIR-CD+' then 150 else 0 end",
     "sample_nested_group": f"""with {IMG} select *, coalesce(split_part(image_path, '/', -3), '') as disaster from i where dataset = 'EBD'
         qualify row_number() over (partition by split_part(image_path, '/', -3) order by {md5(42, 'image_path')}, image_path) <= 5""",
-    "assign_types": f"with {IMG}, {_assign()} select image_path, i, question_type from a",
-    "plan_text": f"""with {IMG}, {_assign()}, l as (select image_path, question_type, count(*) as n from a group by 1, 2)
+    "assign_types": f"with {IMG}, {ASSIGN} select image_path, i, question_type from a",
+    "plan_text": f"""with {IMG}, {ASSIGN}, l as (select image_path, question_type, count(*) as n from a group by 1, 2)
         select image_path, string_agg('- ' || question_type || '：' || n || ' 个', chr(10) order by {_ORDER}) as plan from l group by 1""",
     "rebalance_caps": f"with {_T}, {_CAPS} select * from c",
     "rebalance_rows": f"""with {_T}, {_CAPS}, r as (select sft_id, question_type, row_number() over (partition by question_type order by {md5(42, 'sft_id')}, sft_id) as r from t)
@@ -96,5 +102,12 @@ SQL = {
     "balanced_by_group": f"""with {_T}, r as (select *, row_number() over (partition by source_dataset, question_type order by {md5(3407, 'sft_id')}, sft_id) as r from t)
         select sft_id, question_type, source_dataset from r qualify row_number() over (partition by source_dataset order by r, question_type) <= 90""",
     "first_n_per_group": f"with {_T} select sft_id, question_type from t qualify row_number() over (partition by question_type order by sft_id) <= 7",
+    "choose_total": f"with {IMG} select * from i order by {md5(42, 'image_path')}, image_path limit 60",
+    "choose_number": f"with {IMG} select * from i qualify row_number() over (partition by dataset order by {md5(42, 'image_path')}, image_path) <= 9",
+    "choose_spec_nested": f"""with {IMG}, r as (select *, row_number() over (partition by dataset order by {md5(42, 'image_path')}, image_path) as r,
+        row_number() over (partition by dataset, split_part(image_path, '/', -3) order by {md5(42, 'image_path')}, image_path) as n from i)
+        select dataset, image_path from r where dataset = 'SECOND' and r <= 30 or dataset = 'EBD' and n <= 2""",
+    "unknown_names": f"with {IMG} select x as dataset from (values ('SECOND'), ('odd'), ('EBD')) as v(x) where x not in (select dataset from i where dataset is not null)",
+    "shuffled_output": f"with {_T} select sft_id, question_type from t",
     "train_val_split": f"""with {_T} select sft_id, case when row_number() over (order by {md5(42, 'sft_id')}, sft_id) <= (select floor(count(*) * {RATIO}::double) from t) then 'val' else 'train' end as split from t""",
 }

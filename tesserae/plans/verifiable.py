@@ -88,7 +88,34 @@ _SCENE = "map {" + ", ".join(f"'{a}': '{b}'" for a, b in V.SCENE_ZH.items()) + "
 _PICK = "list_sort(list_transform(list_filter(cl, lambda x: x <> low), lambda x: md5('pick|' || image || '|' || low || '|' || x) || x))"
 _SIX = f"list_append(list_transform(({_PICK})[1:5], lambda x: substr(x, 33)), low)"
 
+def _zh(c: str) -> str:
+    """A noun phrase without a relation: article, adjectives, noun."""
+    nouns, adjectives = ("map {" + ", ".join(f"'{a}': '{b}'" for a, b in m.items()) + "}" for m in (V.NOUN_ZH, V.ADJ_ZH))
+    bare = f"regexp_replace(lower({c}), '^(a|an|the) +', '')"
+    form = "'^((?:(?:" + "|".join(V.ADJ_ZH) + ")(?: |$))*)(.*)$'"
+    noun = f"regexp_extract({bare}, {form}, 2)"
+    return f"coalesce({nouns}[{bare}], array_to_string(list_transform(list_filter(string_split(regexp_extract({bare}, {form}, 1), ' '), lambda x: x <> ''), lambda x: {adjectives}[x]), '') || coalesce({nouns}[{noun}], {noun}))"
+
+
+_P = lambda pattern, i=1: f"regexp_extract(question, '{pattern}', {i})"
+_BIG = "大型方形建筑物"
+ZH_ROWS = f"""{_I}, z as (select id, image, case kind
+        when 'scene_classification' then '{V.SCENE_Q[0]}' || array_to_string(list_transform(case when len(cl) <= 6 then cl else list_transform(list_sort(list_transform({_SIX}, lambda x: md5('order|' || image || '|' || low || '|' || x) || x)), lambda x: substr(x, 33)) end, lambda x: coalesce({_SCENE}[x], x)), '、') || '{V.SCENE_Q[1]}'
+        when 'rural_urban' then '{V.RURAL_Q}' when 'flood_binary' then '{V.FLOOD_Q}'
+        when 'binary_yesno' then case
+            when starts_with(question, 'Is the number of') then '图中' || {_zh(_P('^Is the number of (.*?) equal to'))} || '的数量和{_BIG}的数量一样多{V.YES_NO}'
+            when starts_with(question, 'Are there more') then '图中' || {_zh(_P('^Are there more (.*?) than'))} || '比小型道路更多{V.YES_NO}'
+            when starts_with(question, 'Is the entire') then '图中的整片' || {_zh(_P('^Is the entire (.*?) flooded'))} || '都被淹没{V.YES_NO}'
+            when contains(question, ' next to a road') then '图中有道路旁边的' || {_zh(_P('^Is a (.*?) next to'))} || '{V.YES_NO}'
+            when starts_with(question, 'Is there') then '图中有' || {_zh(_P('^Is there (.*?) in the image'))} || '{V.YES_NO}'
+            else '{V.FALLBACK}' end end as question,
+        case kind when 'scene_classification' then coalesce({_SCENE}[low], low) when 'binary_yesno' then case when low in ('yes', 'yes.') then '是' else '否' end
+            when 'rural_urban' then case when low = 'rural' then '农村区域' else '城市区域' end else case when low in ('non flooded', 'non-flooded') then '非洪涝' else '洪涝' end end as reference,
+        case when kind = 'binary_yesno' then {_SUB} end as subtype from k where kind is not null)"""
+
 SQL = {
+    "zh_rows": f"with {ZH_ROWS} select id, image, question, reference from z",
+    "translate_phrase": f"with p as (select item_id, regexp_extract(question, '^Is there (.*?)(?: in the picture)?\\?', 1) as p from eval_items) select item_id, case when p <> '' then {_zh('p')} else '' end as phrase from p",
     "classify_verifiable": f"with {_I} select id, kind, image, question, reference from k",
     "yesno_subtype": f"with {_I}, {_Y} select id, subtype from y",
     "answer_label": f"with {_I}, {_Y} select id, label from y",

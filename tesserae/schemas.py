@@ -1,15 +1,3 @@
-"""Schemas of the tables that the pipeline reads and writes."""
+"""Schemas of the tables that runs leave behind."""
 
 MANIFEST = "dataset string, image_path string"
-DESCRIPTIONS = "image_path string, dataset string, description string, generated_at string"
-QUESTIONS = DESCRIPTIONS.replace("generated_at", "questions array<struct<question_type:string,question:string>>, generated_at")
-ANSWERS = (
-    "messages array<struct<role:string,content:string>>, images array<string>, "
-    "meta struct<task_type:string,question_type:string,source_dataset:string,generated_at:string,answer_mode:string,"
-    "auto_validation:struct<is_valid:boolean,label:string,warnings:array<string>,salvaged:boolean>>"
-)
-REVIEWS = "id string, decision string, note string, updated_at string"
-TRAIN = "image string, question string, answer string, question_type string, answer_mode string"
-PREDICTIONS = "image string, question string, question_type string, reference string, prediction string"
-INSTRUCT = "id string, image string, conversations array<struct<value:string>>"
-VERIFIABLE = "image string, question string, reference string"

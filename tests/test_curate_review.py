@@ -67,3 +67,47 @@ def test_pairs(rows):
 def test_counters(rows):
     d = rows([("A", "t"), ("A", "u"), (None, "t")], "d string, q string")
     assert {tuple(r) for r in R.run_counters(d, "d", "q").collect()} == {("phase3_completed", 3), ("dataset_A", 2), ("dataset_None", 1), ("type_t", 2), ("type_u", 1)}
+
+
+def test_two_picture_records(rows):
+    from tesserae.operators import pairs as P
+
+    r = P.record(rows([("a.png", "b.png", "说明"), (None, "c.png", None)], "p string, q string, t string"), "p", "q", "问", "t").collect()
+    assert r[0].images == ["a.png", "b.png"] and [(m.role, m.content) for m in r[0].messages] == [("user", "<image>\n<image>\n问"), ("assistant", "说明")]
+    assert r[1].images == [None, "c.png"] and r[1].messages[1].content is None
+
+
+def test_answer_figures(rows):
+    from tesserae.operators import curate as C
+
+    a = ["<answer>有。</answer>", "没有。", "No.", "Yes, it is", "Nobody", None, "<analysis>1. 甲\n2、乙</analysis><answer>否</answer>", ""]
+    d = rows([(x, "existence", 1) for x in a] + [("有", "counting", 1)], "answer string, t string, label int").drop("label")
+    assert {r.label: r.cnt for r in C.yes_no_balance(d, "answer", F.col("t")).collect()} == {"yes": 2, "no": 3}
+    assert {r.steps: r.cnt for r in C.step_histogram(d, "answer").collect()} == {0: 7, 2: 1}
+
+
+def test_salted_semi_join(spark):
+    from tesserae.functions.rows import salted_semi
+
+    d = spark.range(900).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
+    keys = spark.createDataFrame([("hot", 1), ("hot", 2), ("4", 3), (None, 4)], "k string, v int")
+    assert sorted(r.v for r in salted_semi(d, keys, "k", "v").collect()) == sorted([*range(0, 900, 3), 4])
+    assert salted_semi(d, keys.where("v < 0"), "k", "v").count() == 0
+
+
+def test_a_cluster_needs_a_checkpoint_folder(monkeypatch):
+    from types import SimpleNamespace as N
+
+    import pytest
+
+    from tesserae.functions.rows import cut
+
+    conf = N(get=lambda *a: None)
+    for master, fine in (("spark://h:7077", False), ("local-cluster[2,1,1024]", False), ("yarn", False), ("local[4]", True), ("local", True)):
+        sc = N(getCheckpointDir=lambda: None, master=master, setCheckpointDir=lambda x: None)
+        df = N(sparkSession=N(sparkContext=sc, conf=conf), checkpoint=lambda eager: "done")
+        if fine:
+            assert cut(df) == "done"
+        else:
+            with pytest.raises(RuntimeError):
+                cut(df)

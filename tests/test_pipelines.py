@@ -37,6 +37,60 @@ def test_generate_resumes(rows):
     assert n == {"phase1_completed": 3, "phase2_completed": 3, "phase3_completed": 5, "errors": 0, "dataset_B": 1, "dataset_C": 2, "type_existence": 2, "type_location": 1}
 
 
+def test_a_failing_teacher_is_asked_again(rows):
+    def flaky():
+        seen, plain = {}, teacher()
+
+        def call(prompt, image, tokens, temperature):
+            seen[prompt, image] = seen.get((prompt, image), 0) + 1
+            if seen[prompt, image] < 3:
+                raise ValueError("busy")
+            return plain(prompt, image, tokens, temperature)
+
+        return call
+
+    d = rows([(f"i{i}", f"q{i}") for i in range(20)], "image string, q string")
+    for in_flight in (1, 24):
+        good = X.ask(d, F.col("q"), "image", flaky, in_flight=in_flight).collect()
+        assert len(good) == 20 and all(r.error is None and r.response.startswith("stub-") for r in good)
+        assert all(r.error == "ValueError: busy" and r.response is None for r in X.ask(d, F.col("q"), "image", flaky, in_flight=in_flight, retries=2).collect())
+
+
+def test_calls_run_side_by_side_and_rows_are_left_out(rows):
+    def slow():
+        def call(prompt, image, tokens, temperature):
+            import time
+
+            time.sleep(0.05)
+            return prompt
+
+        return call
+
+    d = rows([(f"i{i}", f"q{i}") for i in range(40)], "image string, q string").coalesce(1)
+    import time
+
+    X.ask(d, F.col("q"), "image", slow, in_flight=40).count()
+    began = time.time()
+    got = X.ask(d, F.col("q"), "image", slow, in_flight=40, only=F.col("q") != "q7").collect()
+    assert time.time() - began < 1.8 and [r.response for r in got] == [None if i == 7 else f"q{i}" for i in range(40)] and all(r.error is None for r in got)
+
+
+def test_description_and_questions_without_a_barrier(spark):
+    """A picture is asked about in the same stage in which it is described: no exchange stands between the two calls."""
+    d = spark.range(100).select(F.col("id").cast("string").alias("image_path"))
+    one = X.ask(d, F.lit(P.DESCRIBE), "image_path", teacher, "describe", "description", error="e1")
+    two = X.ask(one, F.concat(F.lit(P.ASK), "description"), "image_path", teacher, "ask")
+    plan = two._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 2 and "Exchange" not in plan
+    assert two.where("error is null and e1 is null and length(response) > 0").count() == 100
+
+
+def test_truths_by_position(rows, spark):
+    a, b = spark.range(50).select((F.col("id") * 3).alias("at"), F.lit("x").alias("r")).repartition(7), spark.range(20).select((F.col("id") * 5).alias("at"), F.col("id").alias("t"))
+    assert {(r.at, r.t) for r in X.by_position(a, b, "at", "t").collect()} == {(3 * i, i) for i in range(20)}
+    assert X.by_position(a.where("at < 0"), b, "at", "t").count() == 0
+
+
 def test_barrier(rows):
     for image in ("bad", "mute"):
         images = [("A", "p"), ("C", image)]

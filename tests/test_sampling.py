@@ -44,8 +44,9 @@ def test_rebalance(rows):
     assert sizes(S.rebalance(d, "i"), "question_type") == {"ambiguous": 3}  # a missing type empties the main types
     data = [t for t, n in {"existence": 700, "location": 300, "spatial_relation": 200, "attribute": 200, "counting": 60, "unanswerable": 9}.items() for _ in range(n)]
     got = sizes(S.rebalance(rows(list(enumerate(data)), "i long, question_type string"), "i"), "question_type")
-    cap = int(min(n / S.MAIN_TARGETS[t] for t, n in {"existence": 700, "location": 300, "spatial_relation": 200, "attribute": 200, "counting": 60}.items()))
-    assert got == {**{t: min(round(w * cap), data.count(t)) for t, w in S.MAIN_TARGETS.items()}, "unanswerable": 9}
+    weight = {t: S.SCHEDULE[t] / sum(map(S.SCHEDULE.get, S.MAIN_TYPES)) for t in S.MAIN_TYPES}
+    cap = int(min(n / weight[t] for t, n in {"existence": 700, "location": 300, "spatial_relation": 200, "attribute": 200, "counting": 60}.items()))
+    assert got == {**{t: min(round(w * cap), data.count(t)) for t, w in weight.items()}, "unanswerable": 9}
 
 
 def test_assigned_types(rows):
@@ -69,3 +70,14 @@ def test_ranks_of_a_hot_group(spark):
 def test_last_wins(rows):
     d = rows([("a", 1, "x"), ("a", 3, "z"), ("a", 2, "y"), (None, 1, "n")], "k string, p long, v string")
     assert {(r.k, r.v) for r in R.last_wins(d, ["k"], ["p"]).collect()} == {("a", "z"), (None, "n")}
+
+
+def test_choose(rows):
+    d = rows([("A" if i % 2 else "E", f"E/{i % 3}/x/{i}.png") for i in range(60)], "dataset string, image_path string")
+    n = lambda **k: {r.dataset: r["count"] for r in S.choose(d, "image_path", "dataset", **k).groupBy("dataset").count().collect()}
+    inner = ("E", F.element_at(F.split("image_path", "/"), 2), 2)
+    assert sum(n(total=7, per_dataset="3").values()) == 7 and n(per_dataset="3") == {"A": 3, "E": 3} and n(per_dataset="A=4,odd=9") == {"A": 4}
+    assert n(per_dataset="3", nested=inner) == {"A": 3, "E": 6} and n(per_dataset="A=1", nested=inner) == {"A": 1, "E": 6}
+    assert S.choose(d, "image_path", "dataset", manifest=d.limit(1), total=9).count() == 1
+    assert [r.dataset for r in S.unknown_names({"A": 1, "odd": 9}, d, "dataset").collect()] == ["odd"]
+    assert [r.image_path for r in S.shuffled(d, "image_path").collect()] == [r.image_path for r in S.shuffled(d.repartition(3), "image_path").collect()]

@@ -11,6 +11,13 @@ def test_translate():
     assert len(V.NOUN_ZH) == 58 and len(V.SCENE_ZH) == 45
 
 
+def test_translate_of_nested_relations():
+    assert V.translate("a road on the left of a small building next to the large forest") == "大型森林旁边的小型建筑物左侧的道路"
+    assert V.translate("a road next to a small building on the left of the forest") == "森林左侧的小型建筑物旁边的道路"
+    assert V.translate("The Water Areas at the bottom of a  golf course") == "高尔夫球场下方的水域"
+    assert V.translate("small red pier") == "小型red pier" and V.translate("") == "" and V.translate("large") == "大型" and V.translate("a building in the image next to a road") == "道路旁边的建筑物"
+
+
 def test_subtypes(rows):
     q = ["Is the entire road flooded?", "Are there more roads than water areas?", "Is there a road?", "Is the number of roads equal to the number of buildings?"]
     assert [r.x for r in rows([(x,) for x in q], "q string").select(V.yesno_subtype(F.col("q")).alias("x")).collect()] == ["other_yesno", "comparison_yesno", "presence_yesno", "count_equal_yesno"]
