@@ -4,7 +4,9 @@ Method: a suffix array over the letters of every text of an Arrow batch at once
 never run past their own text), the longest common prefixes of neighbouring suffixes, and from the LCP intervals of at
 least `least` letters the spans that occurred earlier in the same text; their union is the repeated share.
 
-Defined results: null texts and texts without letters have share 0 and longest repeat 0; very long texts are processed
+Texts in which no two stretches of that length have the same hash repeat nothing and are passed by.
+
+Defined results: null texts and texts without letters have share 0; a longest repeat below `least` counts as 0; very long texts are processed
 whole; equal rows get equal results; an empty table gives an empty result.
 """
 
@@ -64,11 +66,37 @@ def neighbours(text: list[int], order: list[int]) -> list[int]:
     return lcp
 
 
+def may_repeat(texts: list[str], sizes: np.ndarray, least: int) -> np.ndarray:
+    """The texts in which two stretches of `least` letters have the same hash; the others repeat nothing of that length.
+
+    Hashes are polynomials, put together from stretches of 1, 2, 4... letters of all texts at once; equal stretches have equal
+    hashes, so no repeating text is missed.
+    """
+    some = np.flatnonzero(sizes > least)
+    if not len(some):
+        return some
+    part = np.frombuffer("".join(texts[i] for i in some).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    doc = np.repeat(np.arange(len(some)), sizes[some])
+    n = len(part) - least + 1
+    h, done, size, base = None, 0, 1, 0x9E3779B97F4A7C15
+    while done < least:
+        if least & size:
+            piece = part[done : done + n]
+            h, done = (piece if h is None else h * np.uint64(base) + piece), done + size
+        if done < least:
+            part = part[:-size] * np.uint64(base) + part[size:]
+            base, size = base * base & 0xFFFFFFFFFFFFFFFF, size * 2
+    h = ((h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(24)
+    inside = doc[:n] == doc[least - 1 :]
+    key = np.sort((doc[:n][inside].astype(np.uint64) << np.uint64(40)) | h[inside])
+    return some[np.unique((key[1:][key[1:] == key[:-1]] >> np.uint64(40)).astype(np.int64))]
+
+
 def repeats(texts: list[str], least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """Per text: the share of letters in stretches of `least` or more that occurred earlier in it, and the longest repeat."""
+    """Per text: the share of letters in stretches of `least` or more that occurred earlier in it, and the longest such stretch."""
     sizes = np.array([len(t) for t in texts], np.int64)
     share, longest = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-    use = np.flatnonzero(sizes > least)
+    use = may_repeat(texts, sizes, least)
     if not len(use):
         return share, longest
     codes = np.frombuffer("".join(texts[i] for i in use).encode("utf-32-le"), np.uint32)
@@ -113,7 +141,7 @@ def repeats(texts: list[str], least: int = LEAST) -> tuple[np.ndarray, np.ndarra
         share[use] = np.bincount(doc, weights=hit, minlength=len(use)) / size
         top = np.zeros(len(use), np.int64)
         np.maximum.at(top, doc[mine], lcp)
-        longest[use] = top
+        longest[use] = np.where(top >= least, top, 0)
     return share, longest
 
 

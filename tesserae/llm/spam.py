@@ -4,7 +4,7 @@ Method: content and link features of every page; weak labels from pages where se
 trees trained on a bounded hash sample of the weakly labelled pages (`TRAIN_ROWS` of each label at most); the trees run as
 column expressions over all pages, and the page scores are smoothed with the spam rate of their host (source).
 
-Defined results: null, blank and very short texts are no spam; a null source is a host of its own kind without smoothing;
+Defined results: null and blank texts are no spam; a page of a few words is if it repeats them; a null source is a host of its own kind without smoothing;
 very long texts are read whole; equal pages on one host get equal scores; an empty table, or one whose weak labels hold
 only one class, falls back to the weak signs alone.
 """
@@ -12,7 +12,6 @@ only one class, falls back to the weak signs alone.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,85 +21,189 @@ from pyspark.sql import functions as F
 
 from .common import cut, spread
 
+LETTERS = 1_000_000
 TRAIN_ROWS, TREES, DEPTH, LEAF, SALTS, SMOOTH, PRIOR, THRESHOLD, SEED = 8000, 21, 5, 5, 16, 0.1, 20.0, 0.5, 3407
 FEATURES = ("list_share", "link_share", "link_rate", "tag_share", "stop_rate", "function_rate", "repeat_share", "top_share", "offer_rate", "piece_length", "digit_share", "key_share", "n_units")
+#: Words and links below which a page is short.
+SHORT = 25
+#: Weight of the weak signs of a short page beside the trees.
+SIGNS = 0.6
 #: Frequent function words, which sentences cannot do without.
 FUNCTION_ZH = frozenset("的是在了与和有以为从不把被后应而就将其由到可也或及于则各让使若如再先后只这那该并并未均曾现需处会")
 FUNCTION_EN = frozenset("the a an of to in on at is are was were be been and or but not no by for from with that this these those it its as than then so such most some only yet how what which where when who has had have does do did can may must should will would into over near within after before between there".split())
 _LINK = re.compile(r"!?\[[^\]\n]{0,80}\]\([^)\s]{1,300}\)|https?://\S+|www\.\S+|<a\s[^>]*>.*?</a>", re.I)
 _TAG = re.compile(r"#[^\s#]{1,40}|<[^<>\n]{1,200}>")
 _OFFER = re.compile(r"[$￥¥€£]\s?\d|\bSKU\b|\d\s?(?:元|USD|RMB|CNY|包邮)|free shipping|in stock|现货|包邮", re.I)
-_PIECE = re.compile(r"[^。！？!?\n.]*(?:[。！？!?]+|\.(?=\s|$|[一-鿿])|\n|\.|$)")
-_SPLIT = re.compile(r"[\s,，、;；|｜/·#>»•\-–—:：()\[\]（）【】]+")
-_WORD = re.compile(r"[A-Za-z]+|[一-鿿]")
-_STOP = re.compile(r"[。！？!?]|\.(?=\s|$)")
-_DIGIT = re.compile(r"\d")
-FUNCTION = FUNCTION_ZH | FUNCTION_EN
+#: Each offer holds one of these in lower case, or a number of yuan.
+_OFFER_SIGNS, _YUAN = ("$", "￥", "¥", "€", "£", "sku", "usd", "rmb", "cny", "包邮", "free shipping", "in stock", "现货"), re.compile(r"\d\s?元")
+DIGITS = "0123456789０１２３４５６７８９"
+#: What separates the entries of a list, what ends a sentence, and what ends a piece.
+SPLITS, STOPS, ENDS = ",，、;；|｜/·#>»•-–—:：()[]（）【】", "。！？!?", "。！？!?.\n"
 #: Usual shares of function words among Han characters and among Latin words of written text.
 USUAL_HAN, USUAL_LATIN = 0.15, 0.32
+_HAN, _LATIN, _FUNCTION, _SPACE, _SPLIT, _STOP, _END, _HASH = (1 << i for i in range(8))
 
 
-def features(text: str) -> list[float]:
-    """The features of one page, in the order of FEATURES."""
-    n = len(text)
-    links = _LINK.findall(text) if ("http" in text or "](" in text or "www." in text) else []
-    linked = sum(map(len, links))
-    bare = (_LINK.sub(" \n", text) if links else text).lower()
-    tags = sum(map(len, _TAG.findall(bare))) if ("#" in bare or "<" in bare) else 0
-    words: list[str] = []
-    functional, in_lists, letters, pieces = 0, 0, 0, 0
-    for piece in _PIECE.findall(bare):
-        ws = _WORD.findall(piece)
-        if not ws:
-            continue
-        size, f = sum(map(len, ws)), sum(map(FUNCTION.__contains__, ws))
-        pieces += 1
-        letters += size
-        functional += f
-        words += ws
-        if f < max(1, 0.035 * len(ws)) or piece.count("#") * 12 > size:
-            in_lists += size
-    tokens = Counter(t for t in _SPLIT.split(bare) if t)
-    k = max(1, tokens.total())
-    latin = sum(map(str.isascii, words))
-    usual = USUAL_LATIN * latin + USUAL_HAN * (len(words) - latin)
-    return [
-        (in_lists + linked) / max(1, letters + linked),
-        linked / max(1, n),
-        100.0 * len(links) / max(1, n),
-        tags / max(1, n),
-        100.0 * len(_STOP.findall(bare)) / max(1, len(bare)),
-        functional / max(1.0, usual),
-        1.0 - len(tokens) / k,
-        sum(c for _, c in tokens.most_common(5)) / k,
-        100.0 * len(_OFFER.findall(text)) / max(1, n),
-        letters / max(1, pieces),
-        len(_DIGIT.findall(text)) / max(1, n),
-        keywords(words, latin),
-        float(len(words) + 10 * len(links)),
-    ]
-
-
-def keywords(words: list[str], n_latin: int) -> float:
-    """Share of a page that its three most frequent phrases make up: four Han characters, or one content word, seen thrice."""
-    out = 0.0
-    if 2 * (len(words) - n_latin) >= len(words) > 0:
-        han = "".join(words) if not n_latin else "".join([w for w in words if not w.isascii()])
-        top = Counter(map("".join, zip(han, han[1:], han[2:], han[3:]))).most_common(3)
-        out = min(1.0, 4 * sum(c for _, c in top if c >= 3) / max(1, len(han)))
-    if n_latin:
-        latin = [w for w in words if len(w) > 2 and w.isascii() and w not in FUNCTION]
-        if 6 * len(latin) >= len(words):
-            out = max(out, min(1.0, sum(c for _, c in Counter(latin).most_common(3) if c >= 3) / len(latin)))
-    return out
+def classes() -> np.ndarray:
+    """A table from code points to the bits of the classes above; the last entry stands for all code points beyond."""
+    t = np.zeros(0x10001, np.uint8)
+    t[0x4E00:0xA000] |= _HAN
+    for chars, bit in (("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", _LATIN), ("".join(FUNCTION_ZH), _FUNCTION), (SPLITS, _SPLIT), (STOPS, _STOP), (ENDS, _END), ("#", _HASH)):
+        for c in chars:
+            t[ord(c)] |= bit
+    for i in range(0x10000):
+        if chr(i).isspace():
+            t[i] |= _SPACE | _SPLIT
+    return t
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _word_hash(words: list[str]) -> np.ndarray:
+    codes = _codes("".join(words)).astype(np.uint64)
+    sizes = np.array(list(map(len, words)))
+    return _runs_hash(codes, np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
+
+
+def _runs_hash(codes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of each run of letters, by polynomials in the place of a letter."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    at = np.repeat(start, size)
+    inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    with np.errstate(over="ignore"):
+        power = _POWERS[np.minimum(inside, len(_POWERS) - 1)]
+        h = np.add.reduceat((codes[at + inside] + np.uint64(1)) * power, np.cumsum(size) - size)
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def _powers(n: int = 4096) -> np.ndarray:
+    out, x = [], 1
+    for _ in range(n):
+        out.append(x)
+        x = x * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+    return np.array(out, np.uint64)
+
+
+_POWERS = _powers()
+
+
+def _counted(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(doc, count) of the different hashes of each document; hashes are told apart by 44 bits inside a document."""
+    key = np.sort((doc.astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20)))
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    return (key[first] >> np.uint64(44)).astype(np.int64), np.diff(np.append(first, len(key)))
+
+
+def _top(doc: np.ndarray, count: np.ndarray, n: int, docs: int) -> np.ndarray:
+    """Sum of the n greatest counts of each document."""
+    order = np.lexsort((-count, doc))
+    d, c = doc[order], count[order]
+    first = np.searchsorted(d, d, "left")
+    best = np.arange(len(d)) - first < n
+    return np.bincount(d[best], weights=c[best], minlength=docs)
+
+
+def _sum(doc: np.ndarray, hit: np.ndarray, docs: int) -> np.ndarray:
+    return np.bincount(doc[hit], minlength=docs).astype(float)
+
+
+def features(texts: list[str], table: np.ndarray, function: np.ndarray) -> np.ndarray:
+    """The features of some pages, a row each, in the order of FEATURES; all pages are measured at once as one array of code points.
+
+    table: classes(); function: sorted hashes of the function words in Latin letters.
+    """
+    k = len(texts)
+    n = np.maximum(1, np.array(list(map(len, texts)), float))
+    linked, links, tags, offers = (np.zeros(k) for _ in range(4))
+    bare = []
+    for i, t in enumerate(texts):
+        if "http" in t or "](" in t or "www." in t or "<a" in t:
+            found = _LINK.findall(t)
+            links[i], linked[i] = len(found), sum(map(len, found))
+            b = (_LINK.sub(" \n", t) if found else t).lower()
+        else:
+            b = t.lower()
+        if "#" in b or "<" in b:
+            tags[i] = sum(map(len, _TAG.findall(b)))
+        if any(map(b.__contains__, _OFFER_SIGNS)) or "元" in b and _YUAN.search(b):
+            offers[i] = len(_OFFER.findall(t))
+        bare.append(b)
+    sizes = np.array([len(b) + 1 for b in bare])
+    codes = _codes("\n".join(bare) + "\n")
+    doc = np.repeat(np.arange(k), sizes)
+    cls = table[np.minimum(codes, 0x10000)]
+    has = lambda bit: (cls & bit) > 0
+    end, han, latin, space = has(_END), has(_HAN), has(_LATIN), has(_SPACE)
+    piece = np.concatenate(([0], np.cumsum(end)[:-1]))  # a page ends with a line end, so no piece runs on into the next page
+    pieces = int(piece[-1]) + 1
+    begin = latin & ~np.concatenate(([False], latin[:-1]))
+    start = np.flatnonzero(begin)
+    length = np.flatnonzero(latin & ~np.append(latin[1:], False)) + 1 - start
+    codes64 = codes.astype(np.uint64)
+    h = _runs_hash(codes64, start, length)
+    at = np.minimum(np.searchsorted(function, h), len(function) - 1)
+    is_function = function[at] == h
+    in_piece = lambda places: np.bincount(piece[places], minlength=pieces)
+    words = in_piece(han) + in_piece(start)
+    size = in_piece(han) + in_piece(latin)
+    functional = in_piece(han & has(_FUNCTION)) + in_piece(start[is_function])
+    lists = (words > 0) & ((functional < np.maximum(1, 0.035 * words)) | (in_piece(has(_HASH)) * 12 > size))
+    owner = doc[np.append(np.flatnonzero(end), len(codes) - 1)[:pieces]]
+    per = lambda x: np.bincount(owner, weights=x, minlength=k)
+    all_words, all_letters, all_functional, in_lists, all_pieces = per(words), per(size), per(functional), per(size * lists), per(words > 0)
+    n_latin, n_han = np.bincount(doc[start], minlength=k).astype(float), _sum(doc, han, k)
+    # entries between separators
+    inner = ~has(_SPLIT)
+    e_start = np.flatnonzero(inner & ~np.concatenate(([False], inner[:-1])))
+    e_size = np.flatnonzero(inner & ~np.append(inner[1:], False)) + 1 - e_start
+    e_doc, e_count = _counted(doc[e_start], _runs_hash(codes64, e_start, e_size))
+    entries = np.maximum(1, np.bincount(doc[e_start], minlength=k))
+    next_space = np.append(space[1:], True)
+    stops = _sum(doc, has(_STOP) | ((codes == 46) & next_space), k)
+    # frequent phrases: four Han characters running on over other letters, or one content word
+    phrase = np.zeros(k)
+    place = np.flatnonzero(han & (2 * n_han >= all_words)[doc])
+    if len(place) >= 4:
+        same = doc[place[3:]] == doc[place[:-3]]
+        quad = np.stack([codes64[place[i : len(place) - 3 + i]] for i in range(4)], 1)[same].ravel()
+        q = _runs_hash(quad, np.arange(0, len(quad), 4), np.full(len(quad) // 4, 4))
+        d, c = _counted(doc[place[:-3]][same], q)
+        phrase = np.minimum(1.0, 4 * _top(d[c >= 3], c[c >= 3], 3, k) / np.maximum(1, n_han)) * (2 * n_han >= all_words)
+    content = (length > 2) & ~is_function
+    n_content = np.bincount(doc[start[content]], minlength=k)
+    d, c = _counted(doc[start[content]], h[content])
+    word = np.minimum(1.0, _top(d[c >= 3], c[c >= 3], 3, k) / np.maximum(1, n_content)) * ((6 * n_content >= all_words) & (n_latin > 0))
+    digits = np.array([sum(map(t.count, DIGITS)) for t in texts], float)
+    bare_n = np.maximum(1, sizes - 1)
+    return np.stack(
+        [
+            (in_lists + linked) / np.maximum(1, all_letters + linked), linked / n, 100.0 * links / n, tags / n, 100.0 * stops / bare_n,
+            all_functional / np.maximum(1.0, USUAL_LATIN * n_latin + USUAL_HAN * n_han), 1.0 - np.bincount(e_doc, minlength=k) / entries, _top(e_doc, e_count, 5, k) / entries,
+            100.0 * offers / n, all_letters / np.maximum(1, all_pieces), digits / n, np.maximum(phrase, word), all_words + 10 * links,
+        ],
+        axis=1,
+    )
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", parts: int = 0) -> DataFrame:
     """(id, host, features...) of every page with text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table, function = classes(), np.sort(_word_hash(sorted(FUNCTION_EN)))
         for pdf in batches:
-            f = np.array([features(t) for t in pdf["_text"]], np.float64).reshape(len(pdf), len(FEATURES))
+            texts, made, i = pdf["_text"].tolist(), [np.zeros((0, len(FEATURES)))], 0
+            while i < len(texts):  # bounded memory: as many pages at once as fit, at least one
+                j, total = i, 0
+                while j < len(texts) and (j == i or total + len(texts[j]) <= LETTERS):
+                    total += len(texts[j])
+                    j += 1
+                made.append(features(texts[i:j], table, function))
+                i = j
+            f = np.concatenate(made)
             yield pd.concat([pdf[["doc_id", "host"]].reset_index(drop=True), pd.DataFrame(f, columns=list(FEATURES))], axis=1)
 
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("_text")).where("_text is not null")
@@ -112,9 +215,11 @@ def weak_label() -> Column:
     c = F.col
     entries = (c("list_share") >= 0.8) & ((c("repeat_share") >= 0.4) | (c("link_share") >= 0.3) | (c("tag_share") >= 0.3) | (c("offer_rate") >= 1))
     stuffed = (c("key_share") >= 0.4) & (c("function_rate") <= 0.45) | (c("key_share") >= 0.5) & (c("function_rate") <= 0.6)
-    piled = (c("n_units") >= 25) & (entries | stuffed | (c("link_share") >= 0.7))
+    # what a page of a few words repeats counts for more than what it is made of: a title is no list
+    short = (c("n_units") < SHORT) & ((c("key_share") >= 0.6) & (c("function_rate") <= 0.45) & (c("repeat_share") >= 0.5) | (c("key_share") >= 0.9) | (c("link_share") >= 0.7))
+    piled = (c("n_units") >= SHORT) & (entries | stuffed | (c("link_share") >= 0.7)) | short
     written = (c("function_rate") >= 0.55) | (c("n_units") < 60) & (c("key_share") < 0.2)
-    plain = (c("n_units") < 15) | written & (c("list_share") <= 0.45) & (c("link_share") <= 0.25) & (c("tag_share") <= 0.2) & (c("offer_rate") < 0.5) & ((c("key_share") <= 0.5) | (c("function_rate") >= 0.8))
+    plain = written & ((c("list_share") <= 0.45) | (c("n_units") < SHORT)) & (c("link_share") <= 0.25) & (c("tag_share") <= 0.2) & (c("offer_rate") < 0.5) & ((c("key_share") <= 0.5) | (c("function_rate") >= 0.8))
     return F.when(piled, 1.0).when(plain, 0.0)
 
 
@@ -180,7 +285,9 @@ def scored(docs: DataFrame, parts: int = 0) -> DataFrame:
     pages = cut(measured(docs, parts=parts))
     trees = train(pages)
     page = sum((as_column(t) for t in trees), F.lit(0.0)) / max(1, len(trees)) if trees else F.coalesce(weak_label(), F.lit(0.0))
-    page = F.when(F.col("n_units") < 15, F.lit(0.0)).otherwise(page)
+    # a short page gives the trees little to go on: where its signs agree, they count for more
+    signs = weak_label()
+    page = F.when((F.col("n_units") < SHORT) & signs.isNotNull(), (1 - SIGNS) * page + SIGNS * signs).otherwise(page)
     p = pages.select("doc_id", "host", page.alias("page_score"))
     p = p.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
     total = p.groupBy().agg(F.coalesce(F.avg("page_score"), F.lit(0.0)).alias("base")).collect()[0][0]
