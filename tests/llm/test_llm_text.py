@@ -69,6 +69,21 @@ def test_overlap(rows):
     assert O.overlaps(train.where("sft_id < 0").drop("val_id"), held).count() == 0
 
 
+def test_words_that_differ(rows):
+    ask = ["Are there buildings left of the road?", "Are three buildings left of the road?", "Is a form near the pier?", "Is a from near the pier?", "Is the seat wide?", "Is the east wide?", "Where is the wraehouse?", "Where is the warehouse?", "how manny piers are there", "How many piers are there?", "Wher eis teh pier"]
+    train = rows([(i, "S/a.png", q, "d") for i, q in enumerate(ask)], "sft_id long, image string, question string, source_dataset string")
+    held = rows([(100 + i, "S/a.png", q) for i, q in enumerate(ask)], "val_id long, image string, question string")
+    got = {(r.sft_id, r.val_id - 100) for r in O.overlaps(train, held).collect()}
+    assert got == {(i, i) for i in range(len(ask))} | {(6, 7), (7, 6), (8, 9), (9, 8)}
+
+
+def test_cells_in_other_wordings(rows):
+    ask = ["网格12：有路吗", "在第12号方格里，有路吗？", "格子编号12，有路吗", "标号 12 的网格中，有路吗", "单元格13，有路吗"]
+    train = rows([(i, "S/a.png", q, "d") for i, q in enumerate(ask)], "sft_id long, image string, question string, source_dataset string")
+    held = rows([(100, "S/a.png", "序号12的格网内，有路吗？")], "val_id long, image string, question string")
+    assert sorted(r.sft_id for r in O.overlaps(train, held).collect()) == [0, 1, 2, 3]
+
+
 BASE = ["画面左侧有少量云影，但不影响辨认。", "水渠的边缘与裸土相接。", "影像分辨率有限，细部只能看出模糊的轮廓。", "东侧。", "共3处水塔。"]
 
 
