@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,18 +29,20 @@ from .common import cut, maybe_broadcast, spread
 TOKENIZER = os.environ.get("TESSERAE_TOKENIZER", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 #: Fixed value: the published pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-BLOCK, FULL, NODES, BRANCH, LIMITS, PIECES, TRIES = 3000, 0.995, 4000, 4, 100, 400, 48
+BLOCK, FULL, NODES, BRANCH, PIECES, TRIES = 3000, 0.995, 4000, 4, 400, 48
 
 
 def token_counts(docs: DataFrame, id_col: str, text_col: str, tokenizer: str = TOKENIZER, parts: int = 0) -> DataFrame:
-    """(id, tokens) by a public tokenizer whose file lies at the same path on every executor; whole texts."""
+    """(id, tokens) by a public tokenizer, whose file is sent to the executors; whole texts."""
+    docs.sparkSession.sparkContext.addFile(tokenizer)
+    name = os.path.basename(tokenizer)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import base64
 
         import tiktoken
 
-        with open(tokenizer, "rb") as f:
+        with open(SparkFiles.get(name), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for pdf in batches:
@@ -50,10 +53,11 @@ def token_counts(docs: DataFrame, id_col: str, text_col: str, tokenizer: str = T
 
 
 def fillings(sizes: list[int], room: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of `room` by up to three of the ascending sizes (positions), the fullest first.
+    """The fullest undominated fillings of `room` by up to three of the ascending sizes (positions), the fullest first.
 
-    A filling is dominated by one that is as full or fuller with no more pieces: for one and two pieces the largest that
-    fit are kept, for three the best partner of each pair near the top.
+    A filling is dominated (Martello and Toth) by one whose pieces its own fit into: the largest piece that fits dominates
+    all that are no fuller, and of fillings as full as each other that with the fewest pieces is kept. For two pieces the
+    largest partner of each is tried, for three the best partner of pairs near the top; search() adds what still fits.
     """
     out: dict[int, tuple[int, ...]] = {}
     i = bisect_right(sizes, room) - 1
@@ -86,7 +90,7 @@ def fillings(sizes: list[int], room: int) -> list[tuple[int, ...]]:
                 tried += 1
             if tried > 160 or room in out:
                 break
-    return [out[s] for s in sorted(out, reverse=True)[:BRANCH]]
+    return [out[s] for s in sorted(out, reverse=True) if s >= sizes[i]][:BRANCH]
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -187,7 +191,7 @@ def complete(sizes: list[int], capacity: int, nodes: int = NODES) -> list[list[i
         first = greedy_completion(sizes, capacity)
         best = first if len(first) < len(best) else best
     best = repack(sizes, capacity, best, least, 3 * nodes)
-    left = len(best) + (nodes if len(sizes) <= 400 else max(50, nodes * 400 // len(sizes)))
+    left = len(best) + nodes * PIECES // max(PIECES, len(sizes))  # a node costs as the number of pieces
     while left > 0 and len(best) > max(1, least):
         found, spent = search(sizes, capacity, len(best) - 1, left)
         left -= spent
@@ -254,22 +258,17 @@ def greedy_completion(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def pack(sizes: list[int], capacity: int) -> list[list[int]]:
-    """Bin completion, as far as its node budget goes."""
-    return complete(sizes, capacity)
-
-
 def _solve(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["tokens", "doc_id", "piece"], kind="stable").reset_index(drop=True)
-    cap = int(pdf.capacity_tokens.iloc[0])
-    bins = pack([int(x) for x in pdf.tokens], cap)
-    place, used = [0] * len(pdf), [0] * len(pdf)
+    sizes = pdf.tokens.tolist()
+    bins = complete(sizes, int(pdf.capacity_tokens.iloc[0]))
+    place, used = [""] * len(sizes), [0] * len(sizes)
+    tag = f"{pdf['round'].iloc[0]}-{pdf.block.iloc[0]}-"
     for b, items in enumerate(bins):
-        total = int(sum(pdf.tokens.iloc[i] for i in items)) if len(items) < 50 else int(pdf.tokens.iloc[items].sum())
+        total, name = sum(sizes[i] for i in items), tag + str(b)
         for i in items:
-            place[i], used[i] = b, total
-    tag = f"{pdf['round'].iloc[0]}-{pdf.block.iloc[0]}-"
-    return pd.DataFrame({"limit_id": pdf.limit_id, "capacity_tokens": pdf.capacity_tokens, "container": [tag + str(x) for x in place], "doc_id": pdf.doc_id, "piece": pdf.piece, "tokens": pdf.tokens, "used": used})
+            place[i], used[i] = name, total
+    return pd.DataFrame({"limit_id": pdf.limit_id, "capacity_tokens": pdf.capacity_tokens, "container": place, "doc_id": pdf.doc_id, "piece": pdf.piece, "tokens": pdf.tokens, "used": used})
 
 
 _OUT = "limit_id bigint, capacity_tokens bigint, container string, doc_id bigint, piece bigint, tokens bigint, used bigint"
@@ -288,12 +287,9 @@ def _round(pieces: DataFrame, n: int) -> DataFrame:
 def fill(docs: DataFrame, limits: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, parts: int = 0) -> DataFrame:
     """(limit_id, container, doc_id, piece, tokens, unused): the container of every document or piece."""
     counts = cut(token_counts(docs, id_col, text_col, tokenizer, parts).withColumnRenamed(id_col, "doc_id"))
-    lim = [tuple(r) for r in limits.where("capacity_tokens >= 1 and limit_id is not null").select("limit_id", "capacity_tokens").distinct().orderBy("limit_id", "capacity_tokens").limit(LIMITS + 1).collect()]
-    if len(lim) > LIMITS:
-        raise ValueError(f"more than {LIMITS} container sizes")
-    sizes = F.array(*[F.struct(F.lit(a).cast("bigint").alias("limit_id"), F.lit(b).cast("bigint").alias("capacity_tokens")) for a, b in lim])
-    none = F.array().cast("array<struct<limit_id:bigint,capacity_tokens:bigint>>")
-    both = counts.select("*", F.inline(sizes if lim else none))  # every document is packed once for each container size
+    lim = limits.where("capacity_tokens >= 1 and limit_id is not null").select(F.col("limit_id").cast("bigint"), F.col("capacity_tokens").cast("bigint"))
+    sizes = lim.agg(F.collect_set(F.struct("limit_id", "capacity_tokens"))).scalar()  # the table of container sizes; every document is packed once for each
+    both = counts.select("*", F.inline(sizes))
     cap, tok = F.col("capacity_tokens"), F.col("tokens")
     n = F.floor(tok / cap)
     whole = both.where(tok > cap).select(

@@ -32,16 +32,16 @@ def test_search_is_optimal_on_small_cases():
 def test_large_case_wastes_little():
     rng = random.Random(1)
     sizes = [min(512, int(rng.expovariate(1 / 180)) + 1) for _ in range(1500)]
-    bins = P.pack(sizes, 512)
+    bins = P.complete(sizes, 512)
     assert sorted(i for b in bins for i in b) == list(range(1500)) and all(sum(sizes[i] for i in b) <= 512 for b in bins)
     assert len(bins) <= -(-sum(sizes) // 512) * 1.01 + 1 and len(bins) <= len(P.best_fit(sizes, 512))
-    assert P.pack([], 5) == [] and P.pack([0, 0], 5) in ([[0, 1]], [[1, 0]])
+    assert P.complete([], 5) == [] and P.complete([0, 0], 5) in ([[0, 1]], [[1, 0]])
 
 
 def test_search_reaches_the_bound_on_a_production_block():
     rng = random.Random(1)
     sizes = [rng.randrange(20, 400) for _ in range(P.BLOCK)]
-    bins = P.pack(sizes, 512)
+    bins = P.complete(sizes, 512)
     assert sorted(i for b in bins for i in b) == list(range(P.BLOCK)) and all(sum(sizes[i] for i in b) <= 512 for b in bins)
     assert len(bins) == P.bound(sizes, 512) < len(P.best_fit(sizes, 512))
 
@@ -57,6 +57,28 @@ def test_bound_and_fillings_of_many_pieces():
     assert P.search(sizes, 30, 3, 500) == (None, 0) and P.bound([], 5) == 0
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_search_beats_best_fit_on_remainders_of_documents(seed):
+    """Sizes as token counts of documents are once full pieces are cut off."""
+    rng = random.Random(seed)
+    sizes = [x for x in (n if n <= 512 else n % 512 for n in (int(rng.lognormvariate(5.9, 1.0)) for _ in range(2 * P.BLOCK))) if x][: P.BLOCK]
+    bins = P.complete(sizes, 512)
+    assert sorted(i for b in bins for i in b) == list(range(P.BLOCK)) and all(sum(sizes[i] for i in b) <= 512 for b in bins)
+    assert len(bins) == P.bound(sizes, 512) < len(P.best_fit(sizes, 512))
+
+
+def test_dominated_fillings_are_left_out():
+    assert P.fillings([3, 4, 9], 10) == [(2,)] and P.fillings([5, 5, 9], 10) == [(0, 1), (2,)] and P.fillings([11], 10) == [()]
+
+
+@tokenizer
+def test_many_limits(rows):
+    d = rows([(i, "word " * i) for i in range(12)], "doc_id long, text string")
+    limits = rows([(i, 20 + i) for i in range(130)], "limit_id long, capacity_tokens long")
+    got = P.fill(d, limits)
+    assert got.select("limit_id").distinct().count() == 130 and got.where("tokens > 20 + limit_id").count() == 0
+
+
 @tokenizer
 def test_fill(rows):
     rng = random.Random(8)
