@@ -1,5 +1,9 @@
 """SQL for the training-data queries that SQL can express on whole tables; the others are tested against brute force."""
 
+from . import overlap as O
+from .common import ROOTS
+from .splits import DERIVED
+
 #: White space of any width at either end, case and the difference of '-' and '_' do not count.
 _TYPE = r"replace(lower(regexp_replace({c}, '^[\s\x{{0B}}\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200F}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{2060}}\x{{3000}}\x{{FEFF}}]+|[\s\x{{0B}}\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200F}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{2060}}\x{{3000}}\x{{FEFF}}]+$', '', 'g')), '-', '_')"
 
@@ -21,7 +25,84 @@ _QUOTAS = f"""{_TARGETS},
             floor(sum(y) over (partition by plan_id) + 0.5) - sum(floor(y + 1e-9)) over (partition by plan_id) as spare from y),
         q as (select *, cast(f + case when place <= spare then 1 else 0 end as bigint) as quota from z)"""
 
+_WIDE, _NARROW = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)), "".join(chr(c) for c in range(0x21, 0x7F)).replace("'", "''")
+#: Letters of every answer, all stretches of 12, and of each stretch that occurred before the letters up to the next one.
+_REPEATS = f"""l as (select sft_id, coalesce(regexp_replace(lower(translate(regexp_replace(answer, '</?[A-Za-z][^<>]*>', '', 'g'), '{_WIDE}', '{_NARROW}')), '[^\\p{{L}}]+', '', 'g'), '') as t from sft),
+        g as (select sft_id, i, substr(t, i, 12) as g from (select sft_id, t, unnest(generate_series(1, length(t) - 11)) as i from l where length(t) >= 12)),
+        r as (select sft_id, i from g qualify i > min(i) over (partition by sft_id, g)),
+        c as (select sft_id, sum(n) as covered from (select sft_id, least(12, coalesce(lead(i) over (partition by sft_id order by i) - i, 12)) as n from r) group by 1)"""
+
+_SPACE = r"\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200F}\x{2028}\x{2029}\x{202F}\x{205F}\x{2060}\x{3000}\x{FEFF}"
+
+
+def _path(c: str) -> str:
+    """One spelling for every way to write a file's path."""
+    p = f"lower(replace(regexp_replace(translate({c}, '{_WIDE}　', '{_NARROW} '), '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g'), '\\', '/'))"
+    p = f"case when contains({p}, '%') then lower(url_decode(replace({p}, '+', '%2B'))) else {p} end"
+    p = f"string_split_regex(regexp_replace({p}, '^file:/+', ''), '/+')"
+    steps = f"list_reduce(list_prepend([]::varchar[], list_transform({p}, lambda x: [x])), lambda acc, x: case when x[1] in ('', '.') then acc when x[1] = '..' then acc[:-2] else list_concat(acc, x) end)"
+    return f"nullif(regexp_replace(array_to_string({steps}, '/'), '^(?:{'|'.join(ROOTS)})/', ''), '')"
+
+
+def _scene(c: str) -> str:
+    """The picture's path without its ending, dates, and the marks of pieces and copies."""
+    p = f"regexp_replace(regexp_replace({_path(c)}, '\\.[a-z0-9]{{1,5}}$', ''), '{DERIVED}', '')"
+    p = f"regexp_replace(regexp_replace({p}, '[_-](?:pre|post)(?:[_-]disaster)?($|[_-])', '\\1'), '{DERIVED}', '')"
+    return f"regexp_replace({p}, '/(?:a|b|im1|im2|t1|t2|pre|post|before|after)/([^/]*)$', '/\\1')"
+
+
+#: Classes of pictures: the least scene that is reached over the ties of the manifest.
+_CLASSES = f"""i as (select distinct image from (select image from sft union all select image from val) where image is not null),
+        p as (select image, {_scene('image')} as scene from i),
+        m as (select distinct {_scene('image_path')} as a, {_scene('derived_from')} as b from manifest where image_path is not null and derived_from is not null),
+        e as (select a, b from m where a <> b union select b, a from m where a <> b),
+        w as (select a as n, a as o from e union select e.b, w.o from w join e on e.a = w.n),
+        k as (select n, min(o) as c from w group by 1),
+        c as (select image, coalesce(c, scene) as component from p left join k on k.n = p.scene where scene is not null)"""
+#: Lengths of repeats: stretches of 12 that run on together, at the same distance from where they occurred before.
+_LONGEST = """y as (select sft_id, max(m) + 11 as longest from (select sft_id, count(*) as m from (
+            select a.sft_id, a.i - b.i as d, a.i - row_number() over (partition by a.sft_id, a.i - b.i order by a.i) as island from g a join g b on a.sft_id = b.sft_id and a.g = b.g and b.i < a.i) group by sft_id, d, island) group by 1)"""
+
+_Q = lambda x: "'" + x.replace("'", "''") + "'"
+_LETTERS = lambda w: f"array_to_string(list_sort(list_distinct(string_split({w}, ''))), '')"
+_SAME = "map {" + ", ".join(f"{_Q(a)}: {_Q(b)}" for a, b in O.SAME_EN.items()) + "}"
+
+
+def _asked(table: str, key: str, more: str = "") -> str:
+    """Rows with the canonical picture, the canonical question, and its words where it is in Latin letters."""
+    z = f"regexp_replace(regexp_replace(c, '[^\\p{{L}}\\p{{N}}]+', '', 'g'), '^(?:{O.OPENINGS_ZH}|{O.OPENINGS_EN.replace(' ', '')})+|(?:{O.CLOSINGS_ZH})+$', '', 'g')"
+    once = "array_to_string(list_filter(string_split(z, ''), lambda x, i: not (x = '的' or (regexp_matches(x, '\\p{L}') and x is not distinct from string_split(z, '')[i + 1]))), '')"
+    z2 = f"regexp_replace({once}, {_Q(O.CELL)}, '§\\1\\2§', 'g')"
+    for old, new in O.WORDINGS:
+        z2 = f"regexp_replace({z2}, {_Q(old)}, {_Q(new)}, 'g')"
+    e = "trim(regexp_replace(c, '[^\\p{L}\\p{N}]+', ' ', 'g'))"
+    e = f"regexp_replace(regexp_replace({e}, '^(?:(?:{O.OPENINGS_EN})(?: |$))+', ''), '(?:(?:^| )(?:{O.CLOSINGS_EN}))+$', '')"
+    for old, new in O.IN_PLACE_EN:
+        e = f"regexp_replace({e}, {_Q(old)}, {_Q(new.replace('$', chr(92)))}, 'g')"
+    word = f"case when regexp_matches(w, '\\p{{N}}') then w else coalesce({_SAME}[{_LETTERS('w')}], w) end"
+    shape = f"array_to_string(list_transform(words, lambda w: case when regexp_matches(w, '\\p{{N}}') then w else {_LETTERS('w')} end), ' ')"
+    return f"""(select {key}, {more} img, words, nullif(case when words is null then {z2} else {shape} end, '') as q from (
+            select *, {z} as z, case when not regexp_matches(c, '\\p{{Han}}') then list_transform(string_split({e}, ' '), lambda w: {word}) end as words from (
+                select *, {_path('image')} as img, regexp_replace(lower(translate(question, '{_WIDE}　', '{_NARROW} ')), '<[^<>]*>', ' ', 'g') as c from {table} where image is not null and question is not null)) where img is not null)"""
+
+
+_KNOWN = f"""v as (select w from (select unnest(list_distinct(string_split_regex(lower(translate(question, '{_WIDE}　', '{_NARROW} ')), '[^\\p{{L}}\\p{{N}}]+'))) as w
+            from (select question from sft union all select question from val) where question is not null and not regexp_matches(question, '\\p{{Han}}')) group by w having count(*) >= {O.KNOWN}
+        union select unnest([{', '.join(map(_Q, O.COMMON_EN.split()))}]))"""
+_OVERLAPS = f"""s as materialized {_asked('sft', 'sft_id', 'source_dataset,')}, h as materialized {_asked('val', 'val_id')}, {_KNOWN},
+        b as (select sft_id, val_id, source_dataset, list_filter(list_zip(s.words, h.words), lambda x: x[1] <> x[2]) as d from s join h using (img, q)),
+        x as (select sft_id, val_id, unnest(d) as d from b),
+        bad as (select sft_id, val_id from x where levenshtein(d[1], d[2]) > {O.SLIP} or (d[1] in (select w from v) and d[2] in (select w from v))
+            or d[1] in ({', '.join(map(_Q, O.NUMBERS_EN.split()))}) or d[2] in ({', '.join(map(_Q, O.NUMBERS_EN.split()))})),
+        o as (select * from b where not exists (select 1 from bad where bad.sft_id = b.sft_id and bad.val_id = b.val_id))"""
+
 SQL: dict[str, str] = {
+    "p5_found": f"with {_OVERLAPS} select sft_id, val_id from o",
+    "p5_report": f"with {_OVERLAPS} select 'val' as split_name, source_dataset, count(*) as pairs, count(distinct sft_id) as train_rows, count(distinct val_id) as held_rows from o group by source_dataset",
+    "p3_found": f"with recursive {_CLASSES} select a.image as image_a, b.image as image_b from c a join c b using (component) where a.image < b.image",
+    "p3_scenes": f"with recursive {_CLASSES} select image, component, count(*) over (partition by component) - 1 as links from c",
+    "p6_share": f"with {_REPEATS}, {_LONGEST} select sft_id, length(t) as letters, coalesce(covered / length(t)::double, 0) as repeated_share, coalesce(longest, 0) as longest_repeat from l left join c using (sft_id) left join y using (sft_id)",
+    "p6_found": f"with {_REPEATS} select sft_id from l join c using (sft_id) where covered / length(t)::double >= 0.4",
     "p1_found": f"with {_TARGETS} select plan_id, question_type from o where observed_rows < need_rows",
     "p1_quotas": f"with {_QUOTAS} select plan_id, question_type, observed_rows, need_rows, quota, greatest(0, need_rows - observed_rows) as missing_rows, greatest(0, need_rows - quota) as short_rows from q",
     "p1_sample": f"""with {_QUOTAS} select plan_id, q.question_type, sft_id from q join s on s.k = q.k and (q.d is null or q.d = s.d)
