@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fits, narrow, once, with_path
+from .common import cut, fits, narrow, once, sift, with_path
 
 #: Openings and closings that ask nothing themselves.
 OPENINGS_ZH = "请问|请看图|请告诉我|请看|用户提问|提问|问题|问|你好|您好|麻烦问一下|想问一下"
@@ -90,11 +90,14 @@ def with_question(df: DataFrame, source: str, name: str, words: str) -> DataFram
     return once(df, **{name: F.nullif(F.when(latin, shape).otherwise(z), F.lit("")), words: F.col("_e")}).drop("_c", "_e")
 
 
-def keyed(rows: DataFrame, *cols: str) -> DataFrame:
-    """The given columns with the canonical image and question; rows without either are left out."""
-    k = rows.select(*cols, "image", "question").where("image is not null and question is not null")
-    k = with_question(with_path(k, "image", "_img"), "question", "_q", "_w").drop("image", "question")
-    return k.where("_img is not null and _q is not null")
+def keyed(rows: DataFrame, *cols: str, pictures: DataFrame | None = None) -> DataFrame:
+    """The given columns with the canonical image and question; rows without either are left out.
+
+    pictures (_img): rows of other pictures may be left out before their questions are looked at.
+    """
+    k = with_path(rows.select(*cols, "image", "question").where("image is not null and question is not null"), "image", "_img").drop("image").where("_img is not null")
+    k = k if pictures is None else sift(k, "_img", pictures)
+    return with_question(k, "question", "_q", "_w").drop("question").where("_q is not null")
 
 
 def overlaps(train: DataFrame, held: DataFrame, train_id: str = "sft_id", held_id: str = "val_id") -> DataFrame:
@@ -103,7 +106,8 @@ def overlaps(train: DataFrame, held: DataFrame, train_id: str = "sft_id", held_i
     The join key is the hash of both canonical forms, so a picture that holds a third of the rows spreads over its
     questions; equal canonical forms are compared in full after the hash join.
     """
-    t, h = keyed(train, train_id, "source_dataset"), keyed(held, held_id)
+    h = cut(keyed(held, held_id))
+    t = keyed(train, train_id, "source_dataset", pictures=h)
     t = t.select(train_id, "source_dataset", F.xxhash64("_img", "_q").alias("_h"), F.col("_img").alias("_ti"), F.col("_q").alias("_tq"), F.col("_w").alias("_tw"))
     h = h.select(held_id, F.xxhash64("_img", "_q").alias("_h"), "_img", "_q", "_w")
     both = t.join(h, "_h").where("_ti = _img and _tq = _q").select(train_id, held_id, "source_dataset", F.filter(F.arrays_zip(F.col("_tw").alias("x"), F.col("_w").alias("y")), lambda p: p["x"] != p["y"]).alias("_d"))
