@@ -71,7 +71,8 @@ STOPWORDS = {
 }
 #: Code ranges: Han; kana, Hangul, Cyrillic, Greek, Hebrew, Arabic, Devanagari and Thai.
 HAN = r"[\x{3400}-\x{9FFF}]"
-FOREIGN = r"[\x{3041}-\x{30FF}\x{AC00}-\x{D7AF}\x{0370}-\x{06FF}\x{0900}-\x{097F}\x{0E00}-\x{0E7F}]"
+FOREIGN = r"\x{3041}-\x{30FF}\x{AC00}-\x{D7AF}\x{0370}-\x{06FF}\x{0900}-\x{097F}\x{0E00}-\x{0E7F}"
+OTHER = r"\x{C0}-\x{24F}" + FOREIGN
 TAGS = "</?[A-Za-z]{1,20}>"
 LEAST_ZH, LEAST_LATIN = 3, 6
 
@@ -193,6 +194,7 @@ class Refusals:
 _LABEL, _TRAILER = re.compile(f"^(?:{LABELS})+"), re.compile(f"(?:{TRAILERS.replace(' ', '')})+$")
 _CODES = re.compile(r"(?<![^\W\d_])[A-Z0-9][A-Z0-9+\-_.]*(?![^\W\d_])|https?://\S+")
 _WORDS = re.compile(r"[A-Za-z\u00c0-\u024f]+(?:['’][A-Za-z]+)?")
+_PAIR = re.compile("[A-Za-z\u00c0-\u024f]{2}")
 _TOKENS = re.compile(r"(?<![\w'])[^\W\d_]+(?:'è)?")
 _HAN, _HAN_WORDS, _FOREIGN = re.compile("[\u3400-\u9fff]"), re.compile(rf"(?![{NUMBERS}])[\u3400-\u9fff]"), re.compile("[\u3041-\u30ff\uac00-\ud7af\u0370-\u06ff\u0900-\u097f\u0e00-\u0e7f]")
 _TAGS = re.compile(TAGS)
@@ -206,7 +208,7 @@ def other_language(question: str, body: str) -> bool:
     words, foreign = len(_WORDS.findall(_CODES.sub(" ", body))), len(_FOREIGN.findall(body))
     han = len(_HAN.findall(body))
     if _HAN.search(question):
-        return foreign * 5 > han + foreign or words * 3 > han * 2
+        return (foreign > 0 or _PAIR.search(body) is not None) and (foreign * 5 > han + foreign or words * 3 > han * 2)
     if not re.search("[A-Za-z]", question):
         return False
     if foreign > words or (han and len(_HAN_WORDS.findall(body)) > words * 2):
@@ -231,7 +233,15 @@ def _body(c: Column) -> Column:
 
 
 def _fold(c: Column) -> Column:
-    return F.regexp_replace(F.lower(narrow(c)), r"[^\p{L}\p{N}]+", "")
+    """Letters and digits in lower case and of one width; the width is levelled only where something wide is left."""
+    x = F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", "")
+    return F.when(x.rlike(r"[\x{FF10}-\x{FF5A}]"), narrow(x)).otherwise(x)
+
+
+def _stands_in(c: Column) -> Column:
+    x = F.rtrim(F.ltrim(F.lower(c), F.lit("([{<「【\"'")), F.lit(")]}>」】\"'.。"))
+    names = [y for x in STAND_INS.split("|") for y in ({x.replace("/?", ""), x.replace("?", "")} if "?" in x else {x})]
+    return x.isin(names) | (x.rlike(r"[\x{FF0F}-\x{FF5A}]") & narrow(x).isin(names))
 
 
 def suspects(pairs: DataFrame) -> DataFrame:
@@ -244,21 +254,20 @@ def suspects(pairs: DataFrame) -> DataFrame:
     d = once(pairs, _body=_body(F.col("answer")))
     prompt = F.when(F.contains("question", F.lit("<")), F.regexp_replace("question", TAGS, " ")).otherwise(F.col("question"))
     d = once(d, _n=F.length("_body"), _q=_fold(prompt), _tail=_fold(F.right("_body", F.lit(24))))
-    b, q, tail = F.col("_body"), F.col("_q"), F.col("_tail")
-    stand_in = (F.col("_n") <= 24) & narrow(F.lower(b)).rlike(f"^[({{\\[<「【\"']*(?:{STAND_INS})[)}}\\]>」】\"'.。]*$")
-    empty = F.col("answer").isNull() | ~b.rlike(r"[\p{L}\p{N}]") | stand_in
-    latin = b.rlike("[A-Za-z]{2}")
-    stem = latin
+    b, q, tail, asked = F.col("_body"), F.col("_q"), F.col("_tail"), F.col("question")
+    empty = F.col("answer").isNull() | ~b.rlike(r"[\p{L}\p{N}]") | ((F.col("_n") <= 24) & _stands_in(b))
+    d = once(d, empty=empty, _other=b.rlike(f"[A-Za-z{OTHER}]"))
+    stem = F.col("_other")
     for x in STEMS:
         stem = stem | F.contains(b, F.lit(x))
-    bare = F.regexp_replace(tail, f"(?:{TRAILERS.replace(' ', '')})+$", "")
+    ends_in_label = F.substring(tail, -1, 1).isin(sorted({x[-1] for x in TRAILERS.split("|")}))
+    bare = F.when(ends_in_label, F.regexp_replace(tail, f"(?:{TRAILERS.replace(' ', '')})+$", "")).otherwise(tail)
     short = (F.col("_n") > 24) & (F.length(bare) < 3) | (F.length(q) < 3)
     ends = F.contains(q, F.substring(tail, -3, 3)) | F.contains(q, F.substring(bare, -3, 3))
-    may_copy = (F.length(q) > 0) & (F.col("_n") * 2 >= F.length(q)) & (short | ends)
-    asked = F.col("question")
-    may_differ = asked.isNotNull() & (latin | b.rlike(rf"[\x{{C0}}-\x{{24F}}]{{2}}|{FOREIGN}") | ~asked.rlike(HAN))
+    may_copy = (F.length(q) > 0) & (F.col("_n") * 2 >= F.length(q)) & (ends | short)
+    may_differ = asked.isNotNull() & (F.col("_other") | ~asked.rlike(HAN))
     declinable = ~F.coalesce(category(F.col("question_type")), F.lit("")).isin("unanswerable", "ambiguous")
-    d = once(d, empty=empty, stem=stem, may_copy=F.coalesce(may_copy, F.lit(False)), may_differ=may_differ)
+    d = once(d, stem=stem, may_copy=F.coalesce(may_copy, F.lit(False)), may_differ=may_differ)
     return d.where("empty or stem or may_copy or may_differ").select("record_set", "row_id", "question", "_body", "empty", declinable.alias("declinable"), "may_copy", "may_differ")
 
 

@@ -1,6 +1,7 @@
 """SQL for the training-data queries that SQL can express on whole tables; the others are tested against brute force."""
 
 from . import overlap as O
+from . import truncation as T
 from .common import ROOTS
 from .splits import DERIVED
 
@@ -96,7 +97,54 @@ _OVERLAPS = f"""s as materialized {_asked('sft', 'sft_id', 'source_dataset,')},
             or d[1] in ({', '.join(map(_Q, O.NUMBERS_EN.split()))}) or d[2] in ({', '.join(map(_Q, O.NUMBERS_EN.split()))})),
         o as (select * from b where not exists (select 1 from bad where bad.sft_id = b.sft_id and bad.val_id = b.val_id))"""
 
+
+
+def _marked(c: str) -> str:
+    tagged = f"case when contains({c}, '<') then regexp_replace({c}, '</?[A-Za-z]{{1,20}}>|<[/A-Za-z]{{0,20}}$', chr(10), 'g') else {c} end"
+    old, new = T._STOPS + T._COMMAS + T._DIGITS, T.STOP * len(T._STOPS) + T.COMMA * len(T._COMMAS) + "#" * len(T._DIGITS)
+    return f"translate({tagged}, {_Q(old)}, {_Q(new)})"
+
+
+_BARE = lambda c: f"regexp_replace(trim({c}, {_Q(T.TRIM)}), '##+', '#', 'g')"
+_ENDING = lambda c: f"case when regexp_matches({c}, '[a-z]$') then right({c}, 8) else right({c}, 4) end"
+_AS = lambda c: f"[{''.join(chr(92) + x if x in '^]-' + chr(92) + '[' else x for x in c)}]"
+#: The stack of closing marks that are awaited.
+_STACK = f"""list_reduce(list_prepend('', string_split(regexp_replace(r, '[^{_AS(T.OPENING + T.CLOSING)[1:]}', '', 'g'), '')), lambda acc, x: case when x <> '' and instr({_Q(T.OPENING)}, x) > 0 then acc || substr({_Q(T.CLOSING)}, instr({_Q(T.OPENING)}, x), 1)
+            when x <> '' and right(acc, 1) = x then left(acc, length(acc) - 1) else acc end)"""
+_CLOSED = f"{_AS(T.STOPS)}{_AS(T.CLOSERS)}*$|[)）】]$|</[A-Za-z]{{1,20}}>$"
+_CUTS = f"""texts as (select 'sft' as record_set, sft_id as row_id, source_dataset as source, answer as text from sft union all select 'val_pred', pred_id, run_name, prediction from val_pred),
+        corpus as (select answer as text from sft union all select prediction from val_pred union all select question from sft),
+        sentences as (select x as s, count(*) as n from (select unnest(string_split({_marked('text')}, {_Q(T.STOP)})[:-2]) as x from corpus where text is not null) where x <> '' group by 1),
+        parts as (select n, string_split(lower(rtrim(s, {_Q(T.COMMA + ' ')})), {_Q(T.COMMA)}) as a from sentences),
+        tokens as (select * from (select case when i = 1 then 'f' else 'm' end as place, {_BARE('t')} as token, i = k as last, n from (select n, unnest(a) as t, generate_subscripts(a, 1) as i, len(a) as k from parts)) where token <> ''),
+        vocabulary as (select place, token, sum(case when last then n else 0 end) as ends, sum(case when last then 0 else n end) as goes_on from tokens group by 1, 2),
+        tails as (select {_ENDING('token')} as tail, sum(n) as t from tokens where last group by 1),
+        a0 as (select *, rtrim(text, {_Q(T.BLANKS + '*；;')}) as r, length(text) as n_chars from texts where text is not null),
+        a1 as (select *, right(r, 1) as z from a0),
+        a2 as (select * from a1 where z <> '' and not case when instr({_Q(T.CLOSERS)}, z) > 0 then regexp_matches(r, {_Q(_CLOSED)}) else instr({_Q(T.STOPS)}, z) > 0 and not (z = '.' and regexp_matches(r, '\\n[0-9]{{1,3}}[.、]$')) end),
+        a3 as (select *, lower({_marked("rtrim(regexp_replace(r, '<[/A-Za-z]{0,20}$', ''), " + _Q(T.BLANKS + '；;') + ")")}) as m,
+            regexp_replace(r, '(?s)^(?:.*<answer>|[{_SPACE}*]*(?:回答|答案|answer|Answer)\\*+)', '') as body from a2),
+        a4 as (select *, string_split(m, {_Q(T.STOP)})[-1] as final, trim(case when contains(r, '<') or contains(r, '*') then lower({_marked('body')}) else m end, {_Q(T.TRIM + T.STOP)}) as whole,
+            regexp_matches(r, '[?？][{_SPACE}"''”’]*[^?？{T.STOPS}\\n]*$') as asks, {_STACK} <> '' as open from a3),
+        a5 as (select *, {_BARE(f"string_split(final, {_Q(T.COMMA)})[-1]")} as token, not contains(final, {_Q(T.COMMA)}) as one from a4),
+        c as (select record_set, row_id, source, n_chars, token, case when one then 'f' else 'm' end as place, {_ENDING('token')} as tail,
+            instr(',，、:：�.', z) > 0 or open as sure, one and (asks or {_BARE('whole')} = token) as alone from a5
+            where length(whole) > 24 or not regexp_matches(whole, '^(?:{T.STAND_INS})?$') or z = '�'),
+        asked as (select distinct place, token from c where not sure and token <> ''),
+        nodes as (select q.place, q.token, sum(case when v.token = q.token then ends else 0 end) as e, sum(case when v.token = q.token then goes_on else 0 end) as g, sum(case when v.token = q.token then 0 else ends + goes_on end) as b
+            from asked q join vocabulary v on v.place = q.place and left(v.token, 1) = left(q.token, 1) and starts_with(v.token, q.token) group by 1, 2),
+        j as (select c.*, coalesce(e, 0) as e, coalesce(g, 0) as g, coalesce(b, 0) as b, coalesce(t, 0) as t from c left join nodes on nodes.place = c.place and nodes.token = c.token left join tails on tails.tail = c.tail),
+        lengths as (select record_set, source, n_chars, count(*) as n from j where not (alone and e > 0) group by all),
+        near as (select x.record_set, x.source, x.n_chars, x.n, sum(y.n) as m from lengths x join lengths y on x.record_set = y.record_set and x.source is not distinct from y.source and y.n_chars between x.n_chars - 8 and x.n_chars + 8 group by all),
+        piles as (select * from near where n >= {T.PILE_ROWS} and n > {T.PILE} * greatest((m - n) / 16.0, 0.5)),
+        k as (select j.*, p.n is not null as piled from j left join piles p on p.record_set = j.record_set and p.source is not distinct from j.source and p.n_chars = j.n_chars),
+        cuts as (select record_set, row_id, source from k where case when sure then true when token = '' then false
+            when e > 0 then not e >= (case when piled then 0.5 when alone then 0.0 else 0.2 end) * (e + g + b) when g + b > 0 and alone and g = 0 and t > 0 then false when g + b > 0 then true else t = 0 end)"""
+
 SQL: dict[str, str] = {
+    "p4_found": f"with {_CUTS} select record_set, row_id from cuts",
+    "p4_rates": f"""with {_CUTS} select record_set, source, count(*) as n_rows, count(k) as n_truncated, round(count(k) / count(*)::double, 6) as rate
+        from (select t.record_set, t.source, u.row_id as k from texts t left join cuts u on u.record_set = t.record_set and u.row_id = t.row_id) group by 1, 2""",
     "p5_found": f"with {_OVERLAPS} select sft_id, val_id from o",
     "p5_report": f"with {_OVERLAPS} select 'val' as split_name, source_dataset, count(*) as pairs, count(distinct sft_id) as train_rows, count(distinct val_id) as held_rows from o group by source_dataset",
     "p3_found": f"with recursive {_CLASSES} select a.image as image_a, b.image as image_b from c a join c b using (component) where a.image < b.image",
