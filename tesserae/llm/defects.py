@@ -55,7 +55,7 @@ TOGETHER = (
     ("sorry|unfortunately|apologies|i apologize|i apologise", "can't|cannot|unable|not able|not possible|outside|beyond|not supported|no image|permission", 60),
 )
 #: Every phrase in Han script holds one of these.
-STEMS = ("无法", "不能", "没法", "没办法", "不便", "无权", "权限", "没有收到", "恕不", "拒绝", "范围", "超出", "无可奉告")
+STEMS = "无[法权可]|不[能便]|没[法办]|没有收到|权限|恕不|拒绝|范围|超出"
 #: Words that announce a prompt without adding to it.
 LABELS = "用户提问|用户问题|原问题|问题是|问题|提问|题目|问|question|query|prompt|user|q|image"
 #: Words that announce an answer which then fails to come.
@@ -73,6 +73,8 @@ STOPWORDS = {
 HAN = r"[\x{3400}-\x{9FFF}]"
 FOREIGN = r"\x{3041}-\x{30FF}\x{AC00}-\x{D7AF}\x{0370}-\x{06FF}\x{0900}-\x{097F}\x{0E00}-\x{0E7F}"
 OTHER = r"\x{C0}-\x{24F}" + FOREIGN
+#: Marks that often end a response; another one makes a row a suspect.
+MARKS = "。．.!！?？…,，;；:：、\"'”’」』)）】》*~"
 TAGS = "</?[A-Za-z]{1,20}>"
 LEAST_ZH, LEAST_LATIN = 3, 6
 
@@ -238,6 +240,11 @@ def _fold(c: Column) -> Column:
     return F.when(x.rlike(r"[\x{FF10}-\x{FF5A}]"), narrow(x)).otherwise(x)
 
 
+def ends_of(words: str) -> list[str]:
+    """The letters in which some words end."""
+    return sorted({x[-1] for x in words.split("|")})
+
+
 def _stands_in(c: Column) -> Column:
     x = F.rtrim(F.ltrim(F.lower(c), F.lit("([{<「【\"'")), F.lit(")]}>」】\"'.。"))
     names = [y for x in STAND_INS.split("|") for y in ({x.replace("/?", ""), x.replace("?", "")} if "?" in x else {x})]
@@ -253,14 +260,18 @@ def suspects(pairs: DataFrame) -> DataFrame:
     """
     d = once(pairs, _body=_body(F.col("answer")))
     prompt = F.when(F.contains("question", F.lit("<")), F.regexp_replace("question", TAGS, " ")).otherwise(F.col("question"))
-    d = once(d, _n=F.length("_body"), _q=_fold(prompt), _tail=_fold(F.right("_body", F.lit(24))))
+    # most rows are told by their last letter: it does not stand in the prompt
+    d = once(d, _n=F.length("_body"), _z=F.lower(F.substring(F.rtrim("_body", F.lit(MARKS + BLANKS)), -1, 1)), _ask=F.lower("question"))
+    z, ask = F.col("_z"), F.col("_ask")
+    wide = r"[\x{FF10}-\x{FF5A}]"
+    near = F.contains(ask, z) | z.isin(ends_of(TRAILERS)) | (F.length(ask) <= 6) | z.rlike(rf"[^\p{{L}}\p{{N}}]|{wide}") | (z.rlike("[a-z0-9]") & ask.rlike(wide))
+    d = once(d, _near=near)
+    d = once(d, _q=F.when(F.col("_near"), _fold(prompt)), _tail=F.when(F.col("_near"), _fold(F.right("_body", F.lit(24)))))
     b, q, tail, asked = F.col("_body"), F.col("_q"), F.col("_tail"), F.col("question")
     empty = F.col("answer").isNull() | ~b.rlike(r"[\p{L}\p{N}]") | ((F.col("_n") <= 24) & _stands_in(b))
     d = once(d, empty=empty, _other=b.rlike(f"[A-Za-z{OTHER}]"))
-    stem = F.col("_other")
-    for x in STEMS:
-        stem = stem | F.contains(b, F.lit(x))
-    ends_in_label = F.substring(tail, -1, 1).isin(sorted({x[-1] for x in TRAILERS.split("|")}))
+    stem = F.col("_other") | b.rlike(STEMS)
+    ends_in_label = F.substring(tail, -1, 1).isin(ends_of(TRAILERS))
     bare = F.when(ends_in_label, F.regexp_replace(tail, f"(?:{TRAILERS.replace(' ', '')})+$", "")).otherwise(tail)
     short = (F.col("_n") > 24) & (F.length(bare) < 3) | (F.length(q) < 3)
     ends = F.contains(q, F.substring(tail, -3, 3)) | F.contains(q, F.substring(bare, -3, 3))

@@ -1,4 +1,5 @@
 import random
+import re
 from itertools import product
 
 import pytest
@@ -105,6 +106,15 @@ def test_truncation(rows):
     assert cut_ids(rows, extra) == list(range(100, 108))
 
 
+def test_truncation_without_broadcasts(rows, monkeypatch):
+    """Where the nodes that are asked for are too many to be broadcast, the result is the same."""
+    extra = ["水渠的边缘与裸土相接。画面左侧有少量云", "水渠的边缘与裸土相接", "影像分辨率有", "東", "共8处水"]
+    want = cut_ids(rows, extra)
+    monkeypatch.setattr(T, "WANTED", 0)
+    monkeypatch.setattr(T, "maybe_broadcast", lambda df: df)
+    assert cut_ids(rows, extra) == want == [100, 102, 103, 104]
+
+
 def test_truncation_at_a_low_limit(rows):
     """A source that cuts at 7 letters: what is a whole answer elsewhere goes on here."""
     whole = ["水渠的边缘与裸土", "水渠的边缘与裸土相接，东侧有路。", "水渠的边缘与裸土相接，西侧有塔。"]
@@ -135,7 +145,7 @@ def test_every_declining_phrase_reaches_the_automaton():
     net = D.Refusals()
     for slots in (*D.REFUSING, *D.BEGINNING, *D.ALONE):
         for phrase in map("".join, product(*(x.split("|") for x in slots))):
-            assert net.declines(phrase) and (any(x in phrase for x in D.STEMS) or sum(map(str.isascii, phrase)) > 2)
+            assert net.declines(phrase) and (re.search(D.STEMS, phrase) or sum(map(str.isascii, phrase)) > 2)
     assert net.declines("无法确认。") and not net.declines("无法确认边界，但东侧有路") and not net.declines("抱歉" + "路" * 60 + "无法") and not net.declines("hawaii can't see it")
     assert net.declines("sorry, this is outside of what i can do") and net.declines("非常抱歉，没有收到图片") and not net.declines("道路不能通行")
 
@@ -143,7 +153,7 @@ def test_every_declining_phrase_reaches_the_automaton():
 def test_copies_in_any_form(rows):
     zh, en = "图中东侧有没有圆形铁路？", "Is there a red pier in the image?"
     wide = "".join(chr(ord(c) + 0xFEE0) if "!" <= c <= "~" else c for c in en)
-    copies = [("有路吗？", "有路吗？"), ("路？", "路"), (zh, zh * 3), (zh, zh + "答："), (zh, "问题：" + zh + "\n答案："), (en, wide), ("请看图，<image>\n" + zh, "Question: 请看图，<image>\n" + zh), (en, en.upper() + " Answer:"), (zh * 300, zh * 300), (zh, "图中东侧有没有圆形铁路" + "。" * 400)]
+    copies = [("有路吗？", "有路吗？"), ("路？", "路"), (zh, zh * 3), (zh, zh + "答："), (zh, "问题：" + zh + "\n答案："), (en, wide), ("请看图，<image>\n" + zh, "Question: 请看图，<image>\n" + zh), (en, en.upper() + " Answer:"), (zh * 300, zh * 300), (zh, "图中东侧有没有圆形铁路" + "。" * 400), (wide, en), (zh, zh + "☆☆"), ("RoadＡ？", "roada")]
     answers = [("有没有道路？", "有道路。"), ("画面左侧有没有一条道路？", "画面左侧有一条道路。"), (zh, "东侧有圆形铁路。"), (zh, "铁路"), (en, "A red pier."), ("Is the object in the left side a vehicle?", "It could be" + " the left" * 30 + "."), (zh, "有" * 2000 + "铁路")]
     data = copies + answers
     pairs = rows([("sft", i, q, a, "existence") for i, (q, a) in enumerate(data)], "record_set string, row_id long, question string, answer string, question_type string")
