@@ -199,3 +199,8 @@ def summary(s: DataFrame) -> DataFrame:
         .unionAll(long(_marks(s), tag_rows=c("tag_rows"), risk_rows=c("risk_rows"), cjk_rate=c("cjk_rate"), cyr_rate=c("cyr_rate")))
     )
     return one.select(F.explode("m").alias("metric", "value"))
+
+
+def report(s: DataFrame) -> DataFrame:
+    """The figures as lines of text (line), ready to be shown."""
+    return summary(s).select(F.format_string("%s: %.6f", "metric", "value").alias("line"))

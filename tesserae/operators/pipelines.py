@@ -32,8 +32,9 @@ def generate(
 
     samples (dataset, image_path); described (image_path, dataset, description); asked (image_path, dataset, description,
     questions); answered (image_path, question). Pictures with questions go on to answers, with a description to
-    questions, others start anew; a picture listed under several datasets counts as of the least. Empty descriptions and responses without a valid question are not kept. Answers are asked
-    for once every picture is described and asked about (see resume.barrier), or at once without the strict barrier.
+    questions, others start anew; a picture listed under several datasets counts as of the least. Empty descriptions and
+    responses without a valid question are not kept. Answers are asked for once every picture is described and asked about
+    (see resume.barrier), or at once without the strict barrier.
     """
     staged = R.stages(samples, described, asked)
     have = described.groupBy("image_path").agg(F.min(F.struct("dataset", "description")).alias("_d")).select("image_path", "_d.*")

@@ -38,6 +38,7 @@ QUERIES = {
     "health_charset_rates": _query(H.charset),
     "health_verdict": _query(H.verdict),
     "health_summary": _query(H.summary),
+    "health_report": _query(H.report),
 }
 
 S = f"""with s as (
@@ -101,3 +102,4 @@ SQL = {
         union all select 'risk_rows', (select count(distinct pos) from e)::double
         union all select 'cjk_rate', round(cjk / n::double, 9) from t union all select 'cyr_rate', round(cyr / n::double, 9) from t""",
 }
+SQL["health_report"] = f"select metric || ': ' || printf('%.6f', value) as line from ({SQL['health_summary']})"

@@ -46,3 +46,12 @@ def test_empty_table(rows):
     s = make(rows, [])
     assert H.verdict(s).first().asDict() == {"entropy_red": False, "prefix_red": False, "opening_red": False, "red": False}
     assert H.prefix_top(s).count() == 0 and H.length_overall(s).first().cnt == 0 and H.charset(s).first().cjk_rate == 0.0
+
+
+def test_report_lines(spark):
+    from tesserae.operators import health as H
+
+    s = H.samples(spark.createDataFrame([(1, "existence", "图中有路吗", "有。")], "p long, t string, q string, a string"), "p", "t", "q", "a")
+    lines = {r.line for r in H.report(s).collect()}
+    assert {"n: 1.000000", "entropy: 1.000000", "top3_share: 1.000000", "tag_rows: 0.000000"} <= lines and len(lines) == 12
+    assert H.verdict(s.where("pos < 0")).first().asDict() == {"entropy_red": False, "prefix_red": False, "opening_red": False, "red": False}
