@@ -34,11 +34,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: A key is hot if it holds more than a HOT-th of all rows: there are fewer than HOT hot keys.
+HOT = 1000
+
+
 def salted_semi(rows: DataFrame, keys: DataFrame, key: str, by: str, salts: int = 16) -> DataFrame:
     """Rows whose key is among keys[key], for keys that may hold any share of the rows.
 
-    Rows of one key are dealt out by a hash of another column, and the different keys are repeated for each salt.
+    Rows of a hot key are dealt out by a hash of another column, and only hot keys are repeated for each salt. rows are
+    counted by key when this is called. The keys are never broadcast, see merged().
+    """
+    n = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = [r[0] for r in n.where(F.col("_n") * HOT > n.agg(F.sum("_n")).scalar()).collect()]
+    salt = F.when(F.col(key).isin(hot), F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")).otherwise(0)
+    of_key = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    each = keys.select(key).where(F.col(key).isNotNull()).distinct().select(key, F.explode(of_key).alias("_salt"))
+    return rows.withColumn("_salt", salt).join(merged(each), [key, "_salt"], "left_semi").select(*rows.columns)
+
+
+def merged(df: DataFrame) -> DataFrame:
+    """df as a side of a join that must be shuffled and merged.
+
+    For a table that grows with the pictures: before it has run, the planner knows it by the size of its compressed files and
+    takes no account of explode(), so it would broadcast millions of rows from the driver.
     """
-    salt = F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")
-    each = keys.select(key).where(F.col(key).isNotNull()).distinct().select(key, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    return rows.withColumn("_salt", salt).join(each, [key, "_salt"], "left_semi").select(*rows.columns)
+    return df.hint("merge")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.rows import cut
+from ..functions.rows import cut, merged
 from . import curate as C
 from . import resume as R
 from . import sampling as S
@@ -38,12 +38,12 @@ def generate(
     """
     staged = R.stages(samples, described, asked)
     have = described.groupBy("image_path").agg(F.min(F.struct("dataset", "description")).alias("_d")).select("image_path", "_d.*")
-    waiting = staged.where("stage = 'phase2'").select("image_path").distinct().join(have, "image_path")
+    waiting = staged.where("stage = 'phase2'").select("image_path").distinct().join(merged(have), "image_path")
     starting = staged.where("stage = 'phase1'").groupBy("image_path").agg(F.min("dataset").alias("dataset")).withColumn("description", F.lit(None).cast("string"))
     # plans are joined first, so that a picture is described and asked about in one go, without a barrier between the two
     todo = cut(starting.unionByName(waiting.select("image_path", "dataset", "description")))
     plan = S.plan_text(S.assign_types(todo, "image_path", low, high, seed), "image_path")
-    prompts = todo.join(plan, "image_path", "left").withColumn("new", F.col("description").isNull())
+    prompts = todo.join(merged(plan), "image_path", "left").withColumn("new", F.col("description").isNull())
     told = X.ask(prompts, F.lit(DESCRIBE), "image_path", make, "describe", "said", in_flight, retries, F.col("new"), "describe_error")
     told = told.withColumn("description", F.coalesce("description", "said"))
     raw = cut(X.ask(told, X.render(ASK, description=F.col("description"), plan=F.col("plan")), "image_path", make, "ask", "response", in_flight, retries, F.coalesce(F.col("description") != "", F.lit(False))))
@@ -61,7 +61,7 @@ def generate(
     if not R.barrier((done + n_waiting + n_new, n_asked, total), strict):
         pending = pending.where(F.lit(False))
     sources = samples.groupBy("image_path").agg(F.min("dataset").alias("dataset"))
-    said = cut(X.ask(pending.join(sources, "image_path"), X.render(ANSWER, question=F.col("question")), "image_path", make, "answer", "answer", in_flight, retries))
+    said = cut(X.ask(pending.join(merged(sources), "image_path"), X.render(ANSWER, question=F.col("question")), "image_path", make, "answer", "answer", in_flight, retries))
     good = said.where("error is null").withColumn("_now", F.lit(now)).withColumn("_mode", F.lit("distill"))
     records = C.as_answers(good, "image_path", "question", "answer", "question_type", "dataset", "_now", "_mode").select("messages", "images", "meta")
     failed = raw.select(F.explode(F.array("describe_error", "error")).alias("error")).unionAll(said.select("error")).where("error is not null")

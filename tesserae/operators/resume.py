@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.rows import salted_semi
+from ..functions.rows import merged, salted_semi
 
 #: Types that a generated question may have.
 QUESTION_TYPES = ("existence", "attribute", "location", "spatial_relation", "counting", "unanswerable", "ambiguous")
@@ -16,7 +16,7 @@ def stages(samples: DataFrame, described: DataFrame, asked: DataFrame, image: st
     """samples with the stage that each picture needs next: done (questions exist), phase2 (a description) or phase1."""
     d = described.select(F.col(image), F.lit(True).alias("_d")).distinct()
     q = asked.select(F.col(image), F.lit(True).alias("_q")).distinct()
-    s = samples.join(q, image, "left").join(d, image, "left")
+    s = samples.join(merged(q), image, "left").join(merged(d), image, "left")
     return s.withColumn("stage", F.when(F.col("_q"), "done").when(F.col("_d"), "phase2").otherwise("phase1")).drop("_q", "_d")
 
 
@@ -28,7 +28,7 @@ def pending_answers(samples: DataFrame, asked: DataFrame, answered: DataFrame, i
     """
     each = asked.select(image, "question_type", "question") if "question" in asked.columns else asked.select(F.col(image), F.explode("questions").alias("q")).select(image, "q.question_type", "q.question")
     each = salted_semi(each, samples, image, "question")
-    return each.join(answered.select(image, "question").distinct(), [image, "question"], "left_anti")
+    return each.join(merged(answered.select(image, "question").distinct()), [image, "question"], "left_anti")
 
 
 def relevant_keys(answered: DataFrame, samples: DataFrame, image: str = "image_path") -> DataFrame:

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from tesserae.functions.rows import cut
 from tesserae.operators import curate as C
 from tesserae.operators import pipelines as P
 from tesserae.operators import teacher as X
@@ -37,6 +38,27 @@ def test_generate_resumes(rows):
     assert n == {"phase1_completed": 3, "phase2_completed": 3, "phase3_completed": 5, "errors": 0, "dataset_B": 1, "dataset_C": 2, "type_existence": 2, "type_location": 1}
 
 
+def stored(df, path):
+    """df as a table of files, which the planner knows by their size."""
+    df.write.parquet(str(path))
+    return df.sparkSession.read.parquet(str(path))
+
+
+def stored_run(rows, at):
+    samples = stored(rows([(d, i) for d, i in (("A", "p"), ("B", "q"), ("C", "r"))], "dataset string, image_path string"), at / "s")
+    described = stored(rows([("q", "B", "have")], "image_path string, dataset string, description string"), at / "d")
+    asked = stored(rows([("p", "A", "have", [("t", "old?")])], ASKED), at / "q")
+    answered = stored(rows([("p", "old?"), ("q", "路在哪？")], "image_path string, question string"), at / "a")
+    return P.generate(samples, described, asked, answered, teacher)
+
+
+def test_generate_broadcasts_no_pictures(rows, monkeypatch, tmp_path):
+    plans = []
+    monkeypatch.setattr(P, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    assert stored_run(rows, tmp_path)["answers"].count() == 3
+    assert len(plans) == 4 and not any("Broadcast" in p for p in plans) and "SortMergeJoin" in plans[0]
+
+
 def test_a_failing_teacher_is_asked_again(rows):
     def flaky():
         seen, plain = {}, teacher()
