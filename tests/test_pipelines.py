@@ -59,6 +59,12 @@ def test_generate_broadcasts_no_pictures(rows, monkeypatch, tmp_path):
     assert len(plans) == 4 and not any("Broadcast" in p for p in plans) and "SortMergeJoin" in plans[0]
 
 
+def test_counters_broadcast_no_answers(rows, tmp_path):
+    counters = stored_run(rows, tmp_path)["counters"]
+    assert "Broadcast" not in counters._jdf.queryExecution().executedPlan().toString()
+    assert {r.metric: r.value for r in counters.collect()}["phase3_completed"] == 5
+
+
 def test_a_failing_teacher_is_asked_again(rows):
     def flaky():
         seen, plain = {}, teacher()
