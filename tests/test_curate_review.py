@@ -46,6 +46,27 @@ def test_resume(rows):
     assert not R.barrier((3, 2, 3)) and R.barrier((3, 2, 3), strict=False) and R.barrier((3, 3, 3))
 
 
+def stored(df, path):
+    """df as a table of files, which the planner knows by their size."""
+    df.write.parquet(str(path))
+    return df.sparkSession.read.parquet(str(path))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pending_answers_of_a_hot_picture_without_broadcast(rows, tmp_path):
+    s = stored(rows([(f"p{i}",) for i in range(0, 2000, 2)] + [(None,)], "image_path string"), tmp_path / "s")
+    each = [("p0", "t", f"q{i}") for i in range(300)] + [(f"p{i}", "t", "q") for i in range(1, 2000)] + [(None, "t", "q"), ("p0", "t", None)]
+    asked = stored(rows(each, "image_path string, question_type string, question string"), tmp_path / "q")
+    done = stored(rows([("p0", "q7"), ("p4", "q")], "image_path string, question string"), tmp_path / "a")
+    got = R.pending_answers(s, asked, done)
+    want = [("p0", f"q{i}") for i in range(300) if i != 7] + [("p0", None)] + [(f"p{i}", "q") for i in range(2, 2000, 2) if i != 4]
+    assert "Broadcast" not in plan(got)
+    assert sorted(((r.image_path, r.question) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_pending_predictions_limit_first(rows):
     a, b = rows([(i, "p", f"q{i}") for i in range(5)], "i long, image string, question string"), rows([("p", "q0")], "image string, question string")
     assert sorted(r.i for r in R.pending_predictions(a, b, "i", 2).collect()) == [1] and R.pending_predictions(a, b, "i").count() == 4
