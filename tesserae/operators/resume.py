@@ -33,7 +33,7 @@ def pending_answers(samples: DataFrame, asked: DataFrame, answered: DataFrame, i
 
 def relevant_keys(answered: DataFrame, samples: DataFrame, image: str = "image_path") -> DataFrame:
     """Answer keys of sampled pictures with a non-empty question."""
-    return salted_semi(answered.where("question is not null and question <> ''").distinct(), samples, image, "question")
+    return salted_semi(answered.where("question is not null and question <> ''"), samples, image, "question").distinct()
 
 
 def pending_predictions(rows: DataFrame, done: DataFrame, order: str, limit: int = 0) -> DataFrame:

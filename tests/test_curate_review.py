@@ -67,6 +67,14 @@ def test_pending_answers_of_a_hot_picture_without_broadcast(rows, tmp_path):
     assert sorted(((r.image_path, r.question) for r in got.collect()), key=str) == sorted(want, key=str)
 
 
+def test_relevant_keys_of_a_hot_picture_without_broadcast(rows, tmp_path):
+    s = stored(rows([(f"p{i}",) for i in range(0, 2000, 2)] + [(None,)], "image_path string"), tmp_path / "s")
+    each = [("p0", f"q{i}") for i in range(300)] * 2 + [(f"p{i}", "q") for i in range(1, 2000)] + [(None, "q"), ("p2", ""), ("p2", None), ("p2", "q")]
+    got = R.relevant_keys(stored(rows(each, "image_path string, question string"), tmp_path / "a"), s)
+    assert "Broadcast" not in plan(got)
+    assert sorted(map(tuple, got.collect())) == sorted([("p0", f"q{i}") for i in range(300)] + [(f"p{i}", "q") for i in range(2, 2000, 2)])
+
+
 def test_pending_predictions_limit_first(rows):
     a, b = rows([(i, "p", f"q{i}") for i in range(5)], "i long, image string, question string"), rows([("p", "q0")], "image string, question string")
     assert sorted(r.i for r in R.pending_predictions(a, b, "i", 2).collect()) == [1] and R.pending_predictions(a, b, "i").count() == 4
